@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions.filenames import shot_number, vehicle_number
-from claimweave.llm import canonical, groups, overlap, splits
+from claimweave.llm import canonical, groups, leakage, mixing, overlap, quantiles, splits
 from claimweave.operators.staging import stage
 from claimweave.session import read_table
 
@@ -41,6 +41,37 @@ def p1_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved_claims(spark, sf_dir).where("entry_id = 0").groupBy("marca", "modelo", "reason").agg(F.count(F.lit(1)).alias("n_claims"))
 
 
+# --- 2: percentiles per lane that combine over days
+
+RANK_ERROR = 0.005
+PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
+LANES = ("verde", "ambar", "rojo")
+
+
+def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lane, measure, day, value): measured values of distinct records, the first received of each."""
+    lane = F.translate(F.lower(F.trim("lane")), "á", "a")
+    code = F.when(lane == LANES[0], 0).when(lane == LANES[1], 1).when(lane == LANES[2], 2).cast("tinyint")
+    rows = read_table(spark, sf_dir, "claim_metrics").where("record_id is not null").select(
+        "record_id", "received_at", code.alias("lane"), F.to_date("evaluated_at").alias("day"), quantiles.measured(F.col("estimated_eur")).alias("eur"), quantiles.measured(F.col("processing_time_ms")).alias("ms")
+    )
+    first = [F.min_by(c, "received_at").alias(c) for c in ("lane", "day", "eur", "ms")]
+    one = rows.groupBy("record_id").agg(*first).where("lane is not null")
+    return one.select("lane", "day", F.explode(F.array(F.struct(F.lit(0).cast("tinyint").alias("measure"), F.col("eur").alias("value")), F.struct(F.lit(1).cast("tinyint").alias("measure"), F.col("ms").alias("value")))).alias("m")).select("lane", "day", "m.measure", "m.value").where("value is not null")
+
+
+def p2_lane_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles per lane and measure of each day, and of all days from the merged digests of the days (day is null)."""
+    k = quantiles.k_for(RANK_ERROR)
+    daily = stage(quantiles.digests(_measures(spark, sf_dir), ["lane", "measure", "day"], "value", k), "digests").df
+    by_day = quantiles.digest_percentiles(daily, ["lane", "measure", "day"], PERCENTILES, k)
+    merged = quantiles.merge_digests(daily, ["lane", "measure"])
+    overall = quantiles.digest_percentiles(merged, ["lane", "measure"], PERCENTILES, k).withColumn("day", F.lit(None).cast("date"))
+    name = F.element_at(F.array(*[F.lit(x) for x in LANES]), F.col("lane") + 1)
+    measure = F.when(F.col("measure") == 0, "estimated_eur").otherwise("processing_time_ms")
+    return by_day.unionByName(overall).select(name.alias("lane"), measure.alias("measure"), "day", "percentile", "value", "value_low", "value_high", "n", "rank_error")
+
+
 # --- 4: splits that keep a vehicle's images together
 
 
@@ -152,9 +183,44 @@ def p7_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.join(found, "build_id", "left").select("build_id", "n_images", "n_groups", F.coalesce("n_images_found", F.lit(0)).alias("n_images_found"), F.coalesce("n_groups_found", F.lit(0)).alias("n_groups_found"))
 
 
+# --- 8: held-out passages in the corpus
+
+
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).select("item_id", "doc_id")
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaked items with the documents and sources they leak into."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    found = _leaks(spark, sf_dir).join(documents, "doc_id")
+    leaks = found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_documents"), F.countDistinct("source").alias("n_sources"), F.max("run").alias("longest_run"))
+    return leaks.join(read_table(spark, sf_dir, "eval_items").select("item_id", "task", "split"), "item_id")
+
+
+# --- 9: sources mixed to target shares
+
+
+def _mixture(spark: SparkSession, sf_dir: str) -> mixing.Mixture:
+    return mixing.mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "source_weights"))
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixture(spark, sf_dir).documents
+
+
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixture(spark, sf_dir).report
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_misses": p1_misses,
+    "p2_lane_percentiles": p2_lane_percentiles,
     "p4_found": p4_found,
     "p4_split": p4_split,
     "p4_report": p4_report,
@@ -163,6 +229,10 @@ QUERIES = {
     "p6_audit": p6_audit,
     "p7_found": p7_found,
     "p7_audit": p7_audit,
+    "p8_found": p8_found,
+    "p8_report": p8_report,
+    "p9_mixture": p9_mixture,
+    "p9_report": p9_report,
 }
 
 _VEHICLE = r"""regexp_extract(regexp_extract(lower(file_name), '([^/]*)$', 1), '(?:^|[^\p{L}])(?:automovil|automóvil|vehiculo|vehículo|vehicle|veiculo|veículo|viatura|coches|coche|carro|cars|auto|car|veh)[^\p{L}\p{N}]*0*([0-9]+)', 1)"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions.filenames import shot_number, vehicle_number
-from claimweave.llm import canonical, groups, leakage, mixing, overlap, quantiles, splits
+from claimweave.llm import canonical, groups, leakage, mixing, overlap, quantiles, splits, truncation
 from claimweave.operators.staging import stage
 from claimweave.session import read_table
 
@@ -217,6 +217,26 @@ def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixture(spark, sf_dir).report
 
 
+# --- 10: texts cut before their end
+
+
+def _truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.find_truncated(read_table(spark, sf_dir, "documents"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _truncated(spark, sf_dir).where("cut").select("doc_id")
+
+
+def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source truncates."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    marked = documents.join(_truncated(spark, sf_dir), "doc_id")
+    return marked.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.count_if("cut").alias("n_cut"), F.count_if(F.col("cut") & (F.col("by") == "copy")).alias("n_cut_by_copy"), F.avg(F.col("cut").cast("int")).alias("share_cut")
+    )
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_misses": p1_misses,
@@ -233,6 +253,8 @@ QUERIES = {
     "p8_report": p8_report,
     "p9_mixture": p9_mixture,
     "p9_report": p9_report,
+    "p10_found": p10_found,
+    "p10_report": p10_report,
 }
 
 _VEHICLE = r"""regexp_extract(regexp_extract(lower(file_name), '([^/]*)$', 1), '(?:^|[^\p{L}])(?:automovil|automóvil|vehiculo|vehículo|vehicle|veiculo|veículo|viatura|coches|coche|carro|cars|auto|car|veh)[^\p{L}\p{N}]*0*([0-9]+)', 1)"""

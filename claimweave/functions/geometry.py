@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from claimweave.functions.numeric import clamp
+from claimweave.functions.numeric import clamp, half_up
 
 
 def _points(flat: Column) -> Column:
@@ -49,8 +49,8 @@ def normalise_polygon(flat: Column, width: Column, height: Column, min_points: i
 
 
 def label_line(class_id: Column, polygon: Column) -> Column:
-    """``<class> x1 y1 ...`` with six decimals."""
-    return F.concat_ws(" ", class_id.cast("string"), F.array_join(F.transform(polygon, lambda v: F.format_string("%.6f", v)), " "))
+    """``<class> x1 y1 ...`` with six decimals, halves rounded up."""
+    return F.concat_ws(" ", class_id.cast("string"), F.array_join(F.transform(polygon, lambda v: F.format_string("%.6f", half_up(v, 6))), " "))
 
 
 def valid_box(box: Column) -> Column:

@@ -104,7 +104,7 @@ def polygon_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     _FIRST
     + """, n as (select f.id, f.category_id, f.p, i.width as w, i.height as h from first f join images i on f.image_id = i.id)
-select id, coalesce(category_id, -1) || ' ' || array_to_string([printf('%.6f', greatest(0e0, least(1e0, p[i + 1] / case when i % 2 = 0 then w else h end))) for i in range(len(p))], ' ') as line from n where len(p) >= 8"""
+select id, coalesce(category_id, -1) || ' ' || array_to_string([printf('%.6f', cast(round(cast(greatest(0e0, least(1e0, p[i + 1] / case when i % 2 = 0 then w else h end)) as decimal(24,8)), 6) as double)) for i in range(len(p))], ' ') as line from n where len(p) >= 8 and w > 0 and h > 0"""
 )
 def yolo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label lines of each annotation's first polygon."""

@@ -11,8 +11,8 @@ rest by smallest seeded hash, so no block is used more often than the cap.
 Only per (source, shard) totals reach the driver; their number is bounded by
 ``MAX_SHARDS`` times the sources listed.
 
-Defined results: documents with a null or unlisted source, and null or empty
-texts, are not mixed; a listed source without documents gets nothing and is
+Defined results: documents with a null id, a null or unlisted source, and
+null or empty texts, are not mixed; a listed source without documents gets nothing and is
 reported so; its share goes to the others by their quotients; ties go to the
 source listed first by name; a cap of null or below 1 counts as 1, a null share
 as 0; repeated document rows count once each.
@@ -47,7 +47,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 def count_tokens(df: DataFrame, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
     """``df`` without ``text`` and with ``n_tokens``; the vocabulary travels with the plan (about 1 MB)."""
-    ranks = load_ranks(tokenizer)
+    df, ranks = df.drop("n_tokens"), load_ranks(tokenizer)
     keep = [c for c in df.columns if c != text]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != text) + ", n_tokens bigint"
 
@@ -133,7 +133,7 @@ def mix(documents: DataFrame, weights: DataFrame, seed: int = 42, total_tokens:
     spark = documents.sparkSession
     listed = {r["source"]: (max(0.0, r["target_share"] or 0.0), max(1, r["max_repeats"] or 1)) for r in weights.where("source is not null").select("source", "target_share", "max_repeats").collect()}
     names = spark.createDataFrame([(s,) for s in sorted(listed)], "source string")
-    chosen = documents.select("doc_id", "source", "text").join(F.broadcast(names), "source", "left_semi").where("text <> ''").select("doc_id", "source", "text")
+    chosen = documents.select("doc_id", "source", "text").join(F.broadcast(names), "source", "left_semi").where("text <> '' and doc_id is not null").select("doc_id", "source", "text")
     counted = stage(count_tokens(chosen, "text", tokenizer), "tokens")
     total = counted.df.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     shards = int(min(MAX_SHARDS, max(1, total // (block_tokens * BLOCKS_PER_SHARD))))

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from claimweave.operators.staging import Staged, stage
 
-_EMIT = "doc_key string, status string, hash string, kind string, scalars string, field string, ordinal int, child_hash string, child_value string, child_type string"
+_EMIT = "doc_key string, status string, hash string, kind string, scalars string, field string, ordinal int, child_hash string, child_value string, child_type string, tags array<string>"
 
 
 def open_json(text: str | None):
@@ -129,27 +129,38 @@ def merkle_rows(root) -> tuple[str, dict[str, tuple[str, str, list]]]:
     return done[id(root)], found
 
 
-def _emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _emit(tags: tuple[str, ...]):
     columns = [c.split()[0] for c in _EMIT.split(", ")]
-    for batch in batches:
-        rows, seen = [], set()
-        for key, text in zip(batch["doc_key"], batch["payload"], strict=True):
-            status, value = open_json(text)
-            if status != "ok":
-                rows.append((key, status, None, "root", None, None, None, None, None, None))
-                continue
-            root, found = merkle_rows(value)
-            rows.append((key, status, root, "root", None, None, None, None, None, None))
-            for identity, (kind, scalars, parts) in found.items():
-                if identity in seen:
+
+    def own_tags(found, child: str | None) -> list[str | None] | None:
+        """Scalar fields named in ``tags`` of a nested part, empty texts and nulls as none."""
+        if child is None or not tags:
+            return None
+        own = {f: text for f, _, _, text, kind in found[child][2] if f in tags and kind in ("string", "number") and text}
+        return [own.get(t) for t in tags] if found[child][0] == "object" else [None] * len(tags)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, seen = [], set()
+            for key, text in zip(batch["doc_key"], batch["payload"], strict=True):
+                status, value = open_json(text)
+                if status != "ok":
+                    rows.append((key, status, None, "root", *[None] * 7))
                     continue
-                seen.add(identity)
-                rows.append((None, None, identity, kind, scalars, None, None, None, None, None))
-                for field, n, child, text_value, child_type in parts:
-                    rows.append((None, None, identity, "part", None, field, n, child, text_value, child_type))
-        frame = pd.DataFrame(rows, columns=columns, dtype=object)
-        frame["ordinal"] = frame["ordinal"].astype("Int32")
-        yield frame
+                root, found = merkle_rows(value)
+                rows.append((key, status, root, "root", *[None] * 6, own_tags(found, root)))
+                for identity, (kind, scalars, parts) in found.items():
+                    if identity in seen:
+                        continue
+                    seen.add(identity)
+                    rows.append((None, None, identity, kind, scalars, *[None] * 5, own_tags(found, identity)))
+                    for field, n, child, text_value, child_type in parts:
+                        rows.append((None, None, identity, "part", None, field, n, child, text_value, child_type, own_tags(found, child)))
+            frame = pd.DataFrame(rows, columns=columns, dtype=object)
+            frame["ordinal"] = frame["ordinal"].astype("Int32")
+            yield frame
+
+    return run
 
 
 class Shredded:
@@ -176,10 +187,14 @@ class Shredded:
         )
 
 
-def shred(df: DataFrame, key: str, payload: str) -> Shredded:
-    """Parse and shred ``payload``; ``key`` names the record (kept as text)."""
+def shred(df: DataFrame, key: str, payload: str, tags: tuple[str, ...] = ()) -> Shredded:
+    """Parse and shred ``payload``; ``key`` names the record (kept as text).
+
+    Scalar fields named in ``tags`` are carried along with the object that has
+    them (array ``tags``, in the same order), for walks that turn on them.
+    """
     source = df.select(F.col(key).cast("string").alias("doc_key"), F.col(payload).cast("string").alias("payload"))
-    return Shredded(stage(source.mapInPandas(_emit, _EMIT), "shred"))
+    return Shredded(stage(source.mapInPandas(_emit(tags), _EMIT), "shred"))
 
 
 #: How to walk from one role to the next: (role, field) -> role of the part.
@@ -195,11 +210,13 @@ EVALUATION_RULES = {
     ("audit", "*"): "audit",
     ("audit", "input_hashes"): "input_hashes",
 }
+#: Fields that name an evaluation and a damage.
+EVALUATION_TAGS = ("id_evaluacion", "damage_id")
 _LEAVES = ("supporting_images", "parts_lookup_missing", "input_hashes")
 
 
 def evaluation_children(shredded: Shredded) -> DataFrame:
-    """(id_evaluacion, child, parent_key, child_key) of every evaluation, from the shredded tables.
+    """(id_evaluacion, child, parent_key, child_key) of every evaluation, from tables shredded with ``EVALUATION_TAGS``.
 
     An evaluation is any object with a text ``id_evaluacion``.  The walk goes
     down the bridge level by level, one join per level of nesting, until no
@@ -209,22 +226,19 @@ def evaluation_children(shredded: Shredded) -> DataFrame:
     the other lists may also be a single value.  Nulls and empty strings are no
     children.
     """
-    whole = stage(shredded.bridge, "bridge")
-    bridge = whole.df
-    named = bridge.where("field = 'id_evaluacion' and child_type = 'string' and child_value <> ''").select(F.col("parent_hash").alias("hash"), F.col("child_value").alias("id_evaluacion"))
-    own_id = bridge.where("field = 'damage_id' and child_type in ('string', 'number') and child_value <> ''").select(F.col("parent_hash").alias("child_hash"), F.col("child_value").alias("damage_id"))
-    ids = stage(own_id, "damage-ids")
-    evaluations = stage(named.distinct(), "evaluations")
-    marks = evaluations.df.select(F.col("hash").alias("child_hash"), F.lit(True).alias("is_evaluation")).distinct()
-    # the parts below, with what decides their role
-    parts = bridge.join(ids.df, "child_hash", "left").join(marks, "child_hash", "left").withColumn("step", F.when(F.col("field") == "", "*").otherwise(F.col("field")))
-    steps = stage(parts, "steps")
+    rows = shredded.staged.df
+    id_of, damage_of = F.get("tags", F.lit(0)), F.get("tags", F.lit(1))
+    evaluations = rows.where(F.col("kind").isin("object", "array") & id_of.isNotNull()).select(id_of.alias("id_evaluacion"), F.col("hash").alias("parent_hash"), F.lit("evaluation").alias("role"), F.lit(None).cast("string").alias("damage"))
+    parts = rows.where("kind = 'part'").select(
+        F.col("hash").alias("parent_hash"), F.when(F.col("field") == "", "*").otherwise(F.col("field")).alias("step"), "child_hash", "child_value", "child_type", id_of.isNotNull().alias("is_evaluation"), damage_of.alias("damage_id")
+    )
+    steps = stage(parts.distinct(), "steps")
 
     rule = F.create_map(*[F.lit(x) for (role, field), to in EVALUATION_RULES.items() for x in (f"{role}/{field}", to)])
-    frontier = stage(evaluations.df.select("id_evaluacion", F.col("hash").alias("parent_hash"), F.lit("evaluation").alias("role"), F.lit(None).cast("string").alias("damage")), "front")
+    frontier = evaluations.distinct()
     found: list[Staged] = []
-    while not frontier.empty():
-        down = frontier.df.join(steps.df, "parent_hash")
+    while True:
+        down = frontier.join(steps.df, "parent_hash")
         said = F.try_element_at(rule, F.concat_ws("/", "role", "step"))
         nested = F.col("child_hash").isNotNull()
         in_damages = F.col("role") == "damages"
@@ -236,15 +250,14 @@ def evaluation_children(shredded: Shredded) -> DataFrame:
             .when(F.col("role").isin("estimate", "audit", "damages") & nested, F.col("role"))
         )
         # one damage in place of a list: the object under ``damages`` has its own id
-        role = F.when((role == "damages") & (F.col("role") == "evaluation") & F.col("damage_id").isNotNull(), F.lit("damage")).when((role == "damages") & in_damages & F.col("damage_id").isNotNull(), F.lit("damage")).otherwise(role)
-        walked = down.where(F.coalesce(~F.col("is_evaluation"), F.lit(True))).withColumn("next", role).where("next is not null")
+        role = F.when((role == "damages") & F.col("damage_id").isNotNull(), F.lit("damage")).otherwise(role)
+        walked = down.where(~(nested & F.col("is_evaluation"))).withColumn("next", role).where("next is not null")
         walked = walked.withColumn("damage_key", F.when(F.col("next") == "damage", F.coalesce("damage_id", F.when(F.col("step") != "*", F.col("step")))).otherwise(F.col("damage")))
         step = stage(walked.select("id_evaluacion", "child_hash", "child_value", "child_type", F.col("next").alias("role"), F.col("damage_key").alias("damage")).distinct(), "walk")
         found.append(step)
-        following = stage(step.df.where("child_hash is not null").select("id_evaluacion", F.col("child_hash").alias("parent_hash"), "role", "damage").distinct(), "front")
-        frontier.drop()
-        frontier = following
-    spark = whole.spark
+        frontier = step.df.where("child_hash is not null").select("id_evaluacion", F.col("child_hash").alias("parent_hash"), "role", "damage")
+        if frontier.isEmpty():
+            break
     out = None
     for step in found:
         t = step.df
@@ -257,6 +270,4 @@ def evaluation_children(shredded: Shredded) -> DataFrame:
             F.when(F.col("role") == "damage", F.col("damage")).otherwise(F.col("child_value")).alias("child_key"),
         )
         out = rows if out is None else out.unionByName(rows)
-    if out is None:
-        return spark.createDataFrame([], "id_evaluacion string, child string, parent_key string, child_key string")
     return out.where("child_key <> '' and parent_key <> ''").distinct()

@@ -20,7 +20,7 @@ def _tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFram
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.evaluation_children(nested.shred(read_table(spark, sf_dir, "inference_raw"), "rec_id", "payload"))
+    return nested.evaluation_children(nested.shred(read_table(spark, sf_dir, "inference_raw"), "rec_id", "payload", nested.EVALUATION_TAGS))
 
 
 def p3_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ EVAL = {"id_evaluacion": "E1", "damages": [DAMAGE], "estimacion": {"parts_lookup
 
 def children(spark, *payloads):
     df = spark.createDataFrame([(i, p) for i, p in enumerate(payloads)], "rec bigint, payload string")
-    return rows(nested.evaluation_children(nested.shred(df, "rec", "payload")))
+    return rows(nested.evaluation_children(nested.shred(df, "rec", "payload", nested.EVALUATION_TAGS)))
 
 
 WHOLE = {("E1", "damages", "E1", "C1"), ("E1", "supporting_images", "C1", "a"), ("E1", "supporting_images", "C1", "b"), ("E1", "parts_lookup_missing", "E1", "hood"), ("E1", "input_hashes", "E1", "h1")}
@@ -69,7 +69,7 @@ def test_deep_nesting_and_long_text(spark):
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], "rec bigint, payload string, doc_key string")
-    s = nested.shred(df, "rec", "payload")
+    s = nested.shred(df, "rec", "payload", nested.EVALUATION_TAGS)
     assert s.occurrences.count() == s.objects.count() == s.bridge.count() == 0
     assert nested.evaluation_children(s).count() == 0
 

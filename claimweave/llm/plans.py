@@ -53,7 +53,7 @@ def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     lane = F.translate(F.lower(F.trim("lane")), "á", "a")
     code = F.when(lane == LANES[0], 0).when(lane == LANES[1], 1).when(lane == LANES[2], 2).cast("tinyint")
     rows = read_table(spark, sf_dir, "claim_metrics").where("record_id is not null").select(
-        "record_id", "received_at", code.alias("lane"), F.to_date("evaluated_at").alias("day"), quantiles.measured(F.col("estimated_eur")).alias("eur"), quantiles.measured(F.col("processing_time_ms")).alias("ms")
+        "record_id", "received_at", code.alias("lane"), F.unix_date(F.to_date("evaluated_at")).alias("day"), quantiles.measured(F.col("estimated_eur")).alias("eur"), quantiles.measured(F.col("processing_time_ms")).alias("ms")
     )
     first = [F.min_by(c, "received_at").alias(c) for c in ("lane", "day", "eur", "ms")]
     one = rows.groupBy("record_id").agg(*first).where("lane is not null")
@@ -66,10 +66,10 @@ def p2_lane_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = stage(quantiles.digests(_measures(spark, sf_dir), ["lane", "measure", "day"], "value", k), "digests").df
     by_day = quantiles.digest_percentiles(daily, ["lane", "measure", "day"], PERCENTILES, k)
     merged = quantiles.merge_digests(daily, ["lane", "measure"])
-    overall = quantiles.digest_percentiles(merged, ["lane", "measure"], PERCENTILES, k).withColumn("day", F.lit(None).cast("date"))
+    overall = quantiles.digest_percentiles(merged, ["lane", "measure"], PERCENTILES, k).withColumn("day", F.lit(None).cast("int"))
     name = F.element_at(F.array(*[F.lit(x) for x in LANES]), F.col("lane") + 1)
     measure = F.when(F.col("measure") == 0, "estimated_eur").otherwise("processing_time_ms")
-    return by_day.unionByName(overall).select(name.alias("lane"), measure.alias("measure"), "day", "percentile", "value", "value_low", "value_high", "n", "rank_error")
+    return by_day.unionByName(overall).select(name.alias("lane"), measure.alias("measure"), F.date_from_unix_date("day").alias("day"), "percentile", "value", "value_low", "value_high", "n", "rank_error")
 
 
 # --- 4: splits that keep a vehicle's images together

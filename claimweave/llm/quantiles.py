@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 MANTISSA = 9
 #: 11 bits of exponent, and no sign.
 BITS = 11 + MANTISSA
+#: Bits kept for a node's number when digests are handled side by side.
+_ROOM = BITS + 1
 _SHIFT = 52 - MANTISSA
 
 
@@ -51,34 +53,46 @@ def leaf_bounds(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, high
 
 
-def compress(level: np.ndarray, index: np.ndarray, count: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One pass from the leaves up; level 0 is the leaves, level BITS the root."""
-    n = int(count.sum())
-    limit = n // k
-    if limit < 1:
-        return level, index, count
-    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+def compress_groups(group: np.ndarray, level: np.ndarray, index: np.ndarray, count: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One pass from the leaves up over many digests at once; level 0 is the leaves, level BITS the root.
+
+    ``group`` numbers the digest of each node, ``limit`` holds n // k of each
+    digest.  Returns (group, level, index, count).
+    """
+    kept: list[tuple[np.ndarray, ...]] = []
     order = np.argsort(level, kind="stable")
-    level, index, count = level[order], index[order], count[order]
+    code, level, count = (group.astype("int64") << _ROOM) | index.astype("int64"), level[order], count[order]
+    code = code[order]
     starts = np.searchsorted(level, np.arange(BITS + 2))
-    now_i, now_c = index[starts[0] : starts[1]], count[starts[0] : starts[1]]
+    low = (1 << _ROOM) - 1
+
+    def part(lv: int) -> tuple[np.ndarray, np.ndarray]:
+        codes, inverse = np.unique(code[starts[lv] : starts[lv + 1]], return_inverse=True)
+        return codes, np.bincount(inverse, weights=count[starts[lv] : starts[lv + 1]], minlength=len(codes)).astype("int64")
+
+    now, now_n = part(0)
     for lv in range(BITS):
-        up_i, up_c = index[starts[lv + 1] : starts[lv + 2]], count[starts[lv + 1] : starts[lv + 2]]
-        parents, slot = np.unique(now_i >> 1, return_inverse=True)
-        below = np.bincount(slot, weights=now_c, minlength=len(parents)).astype("int64")
-        at = np.searchsorted(up_i, parents)
-        hit = (at < len(up_i)) & (up_i[np.minimum(at, max(len(up_i) - 1, 0))] == parents) if len(up_i) else np.zeros(len(parents), bool)
+        up, up_n = part(lv + 1)
+        parents, slot = np.unique((now >> _ROOM << _ROOM) | ((now & low) >> 1), return_inverse=True)
+        below = np.bincount(slot, weights=now_n, minlength=len(parents)).astype("int64")
         own = np.zeros(len(parents), "int64")
-        own[hit] = up_c[at[hit]]
-        merge = below + own <= limit
+        if len(up):
+            at = np.minimum(np.searchsorted(up, parents), len(up) - 1)
+            hit = up[at] == parents
+            own[hit] = up_n[at[hit]]
+        merge = below + own <= limit[parents >> _ROOM]
         stay = ~merge[slot]
-        kept.append((np.full(int(stay.sum()), lv, "int64"), now_i[stay], now_c[stay]))
-        rest_i = np.concatenate([up_i, parents[merge]])
-        rest_c = np.concatenate([up_c, below[merge]])
-        now_i, inv = np.unique(rest_i, return_inverse=True)
-        now_c = np.bincount(inv, weights=rest_c, minlength=len(now_i)).astype("int64")
-    kept.append((np.full(len(now_i), BITS, "int64"), now_i, now_c))
-    return tuple(np.concatenate([p[j] for p in kept]) for j in range(3))
+        kept.append((now[stay], np.full(int(stay.sum()), lv, "int64"), now_n[stay]))
+        both, inverse = np.unique(np.concatenate([up, parents[merge]]), return_inverse=True)
+        now, now_n = both, np.bincount(inverse, weights=np.concatenate([up_n, below[merge]]), minlength=len(both)).astype("int64")
+    kept.append((now, np.full(len(now), BITS, "int64"), now_n))
+    codes, levels, counts = (np.concatenate([p[j] for p in kept]) for j in range(3))
+    return codes >> _ROOM, levels, codes & low, counts
+
+
+def compress(level: np.ndarray, index: np.ndarray, count: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """A single digest compressed: (level, index, count)."""
+    return compress_groups(np.zeros(len(level), "int64"), level, index, count, np.array([int(count.sum()) // k]))[1:]
 
 
 def k_for(rank_error: float) -> int:
@@ -93,16 +107,53 @@ def digests(df: DataFrame, keys: list[str], value: str, k: int) -> DataFrame:
     are never gathered; what a key gathers is bounded by the universe.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, _leaf_column(F.col(value)).alias("leaf")).agg(F.count(F.lit(1)).alias("n"))
-    kinds = dict(df.dtypes)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        level, node, n = compress(np.zeros(len(pdf), "int64"), pdf["leaf"].to_numpy("int64"), pdf["n"].to_numpy("int64"), k)
-        out = pd.DataFrame({"level": level.astype("int32"), "node": node, "n": n})
-        for key in reversed(keys):
-            out.insert(0, key, pdf[key].iloc[0])
-        return out
+    def run(pdf: pd.DataFrame, group: np.ndarray, firsts: np.ndarray) -> pd.DataFrame:
+        n = pdf["n"].to_numpy("int64")
+        limit = np.add.reduceat(n, firsts) // k
+        g, level, node, counts = compress_groups(group, np.zeros(len(pdf), "int64"), pdf["leaf"].to_numpy("int64"), n, limit)
+        out = pdf[keys].iloc[firsts[g]].reset_index(drop=True)
+        return out.assign(level=level.astype("int32"), node=node, n=counts)
+
+    return _by_groups(counts, keys, ["leaf"], run, "level int, node bigint, n bigint")
+
+
+def _by_groups(df: DataFrame, keys: list[str], order: list[str], run, columns: str) -> DataFrame:
+    """``run(rows, group number of each row, first row of each group)`` over whole groups, many at a time.
+
+    Rows are hash-partitioned and sorted by key; a batch that ends inside a
+    group hands that group on to the next one, so a task holds a batch and the
+    one group at its end, whose rows are bounded by the universe.
+    """
+    kinds = dict(df.dtypes)
 
-    return counts.groupBy(*keys).applyInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in keys) + ", level int, node bigint, n bigint")
+    def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest: list[pd.DataFrame] = []
+
+        def numbered(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+            # keys side by side with the row before; nulls equal nulls
+            same = np.ones(len(pdf), bool)
+            for key in keys:
+                v, before = pdf[key], pdf[key].shift()
+                same &= ((v == before) | (v.isna() & before.isna())).to_numpy()
+            same[0] = False
+            return np.cumsum(~same) - 1, np.flatnonzero(~same)
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            pdf = pd.concat([*rest, batch], ignore_index=True)
+            group, firsts = numbered(pdf)
+            last = firsts[-1]
+            rest = [pdf.iloc[last:]]
+            if last:
+                yield run(pdf.iloc[:last], group[:last], firsts[:-1])
+        if rest:
+            pdf = pd.concat(rest, ignore_index=True)
+            yield run(pdf, *numbered(pdf))
+
+    placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    return placed.mapInPandas(whole_groups, ", ".join(f"`{c}` {kinds[c]}" for c in keys) + ", " + columns)
 
 
 def _leaf_column(value: Column) -> Column:
@@ -129,21 +180,19 @@ def digest_percentiles(merged: DataFrame, keys: list[str], percentiles: tuple[fl
     the first node at which the running count reaches the rank gives the value.
     ``rank_error`` is how many ranks the value may be off, from BITS * n / k.
     """
-    kinds = dict(merged.dtypes)
+    asked = np.array(percentiles)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        level, node, n = compress(pdf["level"].to_numpy("int64"), pdf["node"].to_numpy("int64"), pdf["n"].to_numpy("int64"), k)
+    def run(pdf: pd.DataFrame, group: np.ndarray, firsts: np.ndarray) -> pd.DataFrame:
+        n = pdf["n"].to_numpy("int64")
+        totals = np.add.reduceat(n, firsts)
+        g, level, node, counts = compress_groups(group, pdf["level"].to_numpy("int64"), pdf["node"].to_numpy("int64"), n, totals // k)
         last = ((node + 1) << level) - 1
-        order = np.lexsort((level, last))
-        running = np.cumsum(n[order])
-        total = int(running[-1])
-        ranks = np.maximum(np.ceil(np.array(percentiles) * total), 1)
-        at = order[np.searchsorted(running, ranks)]
+        order = np.lexsort((level, last, g))
+        running = np.cumsum(counts[order])
+        ranks = np.maximum(np.ceil(asked[None, :] * totals[:, None]), 1) + (np.cumsum(totals) - totals)[:, None]
+        at = order[np.searchsorted(running, ranks.ravel())]
         low, high = leaf_bounds(last[at])
-        out = pd.DataFrame({"percentile": percentiles, "value": (low + high) / 2, "value_low": low, "value_high": high, "n": total, "rank_error": BITS * (total // k)})
-        for key in reversed(keys):
-            out.insert(0, key, pdf[key].iloc[0])
-        return out
+        out = pdf[keys].iloc[np.repeat(firsts, len(asked))].reset_index(drop=True)
+        return out.assign(percentile=np.tile(asked, len(firsts)), value=(low + high) / 2, value_low=low, value_high=high, n=np.repeat(totals, len(asked)), rank_error=np.repeat(BITS * (totals // k), len(asked)))
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keys) + ", percentile double, value double, value_low double, value_high double, n bigint, rank_error bigint"
-    return merged.groupBy(*keys).applyInPandas(run, schema)
+    return _by_groups(merged, keys, ["level", "node"], run, "percentile double, value double, value_low double, value_high double, n bigint, rank_error bigint")

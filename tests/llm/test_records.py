@@ -100,6 +100,21 @@ def test_digest_size_is_bounded():
     assert n.sum() == 200_000 and len(n) <= 3 * 200
     same = quantiles.compress(level, node, n, 200)
     assert sum(map(len, same)) == 3 * len(n)
+    shuffled = rng.permutation(len(n))
+    for a, b in zip(same, quantiles.compress(level[shuffled], node[shuffled], n[shuffled], 200), strict=True):
+        assert np.array_equal(a, b)
+
+
+def test_many_digests_at_once_are_those_of_each():
+    rng = np.random.default_rng(7)
+    parts = [np.unique(quantiles.leaf_of(rng.lognormal(2, 2, size)), return_counts=True) for size in (1, 50, 3000, 20_000)]
+    group = np.concatenate([np.full(len(leaf), g) for g, (leaf, _) in enumerate(parts)])
+    leaf, n = (np.concatenate([p[j] for p in parts]).astype("int64") for j in (0, 1))
+    limit = np.array([c.sum() // 40 for _, c in parts])
+    got = quantiles.compress_groups(group, np.zeros(len(leaf), "int64"), leaf, n, limit)
+    for g, (one_leaf, one_n) in enumerate(parts):
+        own = set(zip(*(x[got[0] == g].tolist() for x in got[1:]), strict=True))
+        assert own == set(zip(*(x.tolist() for x in quantiles.compress(np.zeros(len(one_leaf), "int64"), one_leaf, one_n.astype("int64"), 40)), strict=True))
 
 
 def test_unmeasured_values_and_leaves(spark):

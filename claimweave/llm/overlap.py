@@ -1,16 +1,9 @@
 """Same or near-same records across splits, by joins of segmented fingerprints.
 
-A 64-bit code is cut into four 16-bit blocks.  Two codes within Hamming radius
-r agree on some block up to r // 4 bits (pigeonhole), so each code of one side
-is stored under its four blocks and each code of the other side probes every
-block value within that local radius; candidates are verified on the whole
-code.  Only distinct codes are joined, so groups of copies meet once and are
-expanded after verification.
-
-A block value that very many codes share (flat images) would make its bucket
-quadratic.  Such buckets are keyed a second time: of the three other blocks one
-agrees within ceil-free radius r // 3, so the pair (block, second block) is
-joined in its place.  That is exact, like the first level.
+Photos of the two sides meet by identity, by content hash, by vehicle and shot,
+and by perceptual code: codes within a Hamming radius are found by the exact
+segment join of :mod:`claimweave.operators.neardup` over distinct codes and
+expanded to records after verification.
 
 Defined results: null codes, hashes and numbers match nothing; rows repeated
 with the same identity count once; empty sides give no pairs.
@@ -18,63 +11,12 @@ with the same identity count once; empty sides give no pairs.
 
 from __future__ import annotations
 
-from itertools import combinations
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimweave.operators.neardup import HOT_BUCKET, hamming_pairs
 from claimweave.operators.staging import stage
 
-BLOCKS, WIDTH = 4, 16
-#: Distinct stored codes under one block value above which a bucket is keyed twice.
-HOT_BUCKET = 4096
-
-
-def _blocks(code: Column) -> list[Column]:
-    return [F.shiftrightunsigned(code, WIDTH * i).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int") for i in range(BLOCKS)]
-
-
-def _masks(radius: int) -> list[int]:
-    """Every mask of at most ``radius`` bits in one block."""
-    return [sum(1 << b for b in bits) for n in range(radius + 1) for bits in combinations(range(WIDTH), n)]
-
-
-def _near(value: Column, radius: int) -> Column:
-    return F.explode(F.transform(F.array(*[F.lit(m) for m in _masks(radius)]), lambda m: value.bitwiseXOR(m)))
-
-
-def _stored(codes: DataFrame) -> DataFrame:
-    return codes.select("code", F.posexplode(F.array(*_blocks(F.col("code")))).alias("block", "value"))
-
-
-def hamming_pairs(left: DataFrame, right: DataFrame, radius: int, hot: int = HOT_BUCKET) -> DataFrame:
-    """Distinct (left_code, right_code) within ``radius`` bits; both inputs are one bigint column ``code``."""
-    local = radius // BLOCKS
-    stored = stage(_stored(left.where("code is not null").distinct()), "blocks")
-    probes = _stored(right.where("code is not null").distinct()).select("code", "block", _near(F.col("value"), local).alias("value"))
-    crowded = stored.df.groupBy("block", "value").count().where(F.col("count") > hot).select("block", "value")
-    crowded = stage(crowded, "crowded")
-    # at most 4 * stored / hot block values are crowded; they are joined, never collected
-    wide = stage(probes.join(crowded.df.withColumn("is_hot", F.lit(True)), ["block", "value"], "left"), "probes")
-    verified = F.bit_count(F.col("left_code").bitwiseXOR(F.col("right_code"))) <= radius
-    plain = (
-        stored.df.select(F.col("code").alias("left_code"), "block", "value")
-        .join(wide.df.where("is_hot is null").select(F.col("code").alias("right_code"), "block", "value"), ["block", "value"])
-        .where(verified).select("left_code", "right_code")
-    )
-    out = plain
-    if not crowded.empty():
-        second = F.posexplode(F.array(*_blocks(F.col("code")))).alias("block2", "value2")
-        inner = stored.df.join(crowded.df, ["block", "value"], "left_semi").select("code", "block", "value", second).where("block <> block2")
-        outer = wide.df.where("is_hot").select("code", "block", "value", second).where("block <> block2").select("code", "block", "value", "block2", _near(F.col("value2"), radius // (BLOCKS - 1)).alias("value2"))
-        twice = (
-            inner.select(F.col("code").alias("left_code"), "block", "value", "block2", "value2")
-            .join(outer.select(F.col("code").alias("right_code"), "block", "value", "block2", "value2"), ["block", "value", "block2", "value2"])
-            .where(verified).select("left_code", "right_code")
-        )
-        out = plain.unionByName(twice)
-    return out.distinct()
-
 
 def cross_pairs(train: DataFrame, held_out: DataFrame, radius: int, hot: int = HOT_BUCKET) -> DataFrame:
     """Distinct (train_id, held_out_id, how) of records that are the same or nearly the same.

@@ -279,8 +279,12 @@ with label as (
 ),
 images as (select distinct id, image_hash, dhash, {_VEHICLE} as vehicle, {_SHOT} as shot from coco_images where id is not null),
 t as (select i.* from images i join label l on l.id = i.id and l.side = 'train'),
-h as (select i.* from images i join label l on l.id = i.id and l.side = 'held')
-select distinct least(t.id, h.id) as image_a, greatest(t.id, h.id) as image_b from t, h
-where t.id = h.id or t.image_hash = h.image_hash or bit_count(xor(t.dhash, h.dhash)) <= {RADIUS}
-   or (t.vehicle <> '' and t.vehicle = h.vehicle and t.shot <> '' and t.shot = h.shot)""",
+h as (select i.* from images i join label l on l.id = i.id and l.side = 'held'),
+pairs as (
+  select t.id as a, h.id as b from t join h on t.id = h.id
+  union select t.id, h.id from t join h on t.image_hash = h.image_hash
+  union select t.id, h.id from t join h on t.vehicle = h.vehicle and t.shot = h.shot where t.vehicle <> '' and t.shot <> ''
+  union select t.id, h.id from (select id, dhash from t where dhash is not null) t, (select id, dhash from h where dhash is not null) h where bit_count(xor(t.dhash, h.dhash)) <= {RADIUS}
+)
+select distinct least(a, b) as image_a, greatest(a, b) as image_b from pairs""",
 }

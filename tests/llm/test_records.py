@@ -12,6 +12,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from claimweave.llm import canonical, groups, overlap, quantiles, splits
+from claimweave.operators.neardup import hamming_pairs
 
 # --- 1: canonical list
 
@@ -210,7 +211,7 @@ def near_codes(rng, n):
 def test_hamming_pairs_against_brute_force(spark, hot):
     codes = near_codes(random.Random(9), 40) + [0, 1, -1, -2, 0, None]
     left, right = codes[::2] + [0], codes[1::2] + [0, 3]
-    got = rows(overlap.hamming_pairs(spark.createDataFrame([(c,) for c in left], "code bigint"), spark.createDataFrame([(c,) for c in right], "code bigint"), 7, hot))
+    got = rows(hamming_pairs(spark.createDataFrame([(c,) for c in left], "code bigint"), spark.createDataFrame([(c,) for c in right], "code bigint"), 7, hot))
     want = {(a, b) for a, b in itertools.product(left, right) if a is not None and b is not None and bin((a ^ b) & (2**64 - 1)).count("1") <= 7}
     assert got == want
 

@@ -108,3 +108,23 @@ def append_new(current: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 def map_default(value: Column, mapping: dict[str, str], default: str) -> Column:
     pairs = F.create_map(*[F.lit(x) for k, v in mapping.items() for x in (k, v)])
     return F.coalesce(F.try_element_at(pairs, value), F.lit(default))
+
+
+def lookup_value(df: DataFrame, key: str, table: DataFrame, table_key: str, value: str, default: Column) -> DataFrame:
+    """``df`` with one more column from ``table``, a default where the key has no row."""
+    right = table.select(F.col(table_key).alias("__k"), F.col(value).alias("__v"))
+    return df.join(right, F.col(key) == F.col("__k"), "left").withColumn(value, F.coalesce("__v", default)).drop("__k", "__v")
+
+
+def coverage_gaps(table: DataFrame, keys: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Combinations of the vocabularies that a reference table has no row for, and values it has outside of them.
+
+    (*keys, gap) with gap ``missing`` or ``unknown``; the combinations are those of small vocabularies.
+    """
+    from itertools import product
+
+    names = list(keys)
+    every = table.sparkSession.createDataFrame([tuple(c) for c in product(*keys.values())], ", ".join(f"`{n}` string" for n in names))
+    missing = every.join(table.select(*names).distinct(), names, "left_anti").withColumn("gap", F.lit("missing"))
+    unknown = table.select(*names).distinct().join(every, names, "left_anti").withColumn("gap", F.lit("unknown"))
+    return missing.unionByName(unknown)

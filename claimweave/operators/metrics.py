@@ -222,3 +222,13 @@ class Calibrator:
         out = Calibrator(method)
         out.model = (IsotonicRegressionModel if method == "isotonic" else LogisticRegressionModel).load(path)
         return out
+
+
+def precision_recall(matches: DataFrame, label: str = "label", outcome: str = "outcome") -> DataFrame:
+    """(label, precision, recall, f1, n_true) from rows with outcome tp, fp or fn; f1 is 0 where both are."""
+    tp, fp, fn = (F.count_if(F.col(outcome) == o) for o in ("tp", "fp", "fn"))
+    counts = matches.groupBy(label).agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"))
+    p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp")), F.lit(0.0))
+    r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fn")), F.lit(0.0))
+    f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    return counts.select(label, half_up(p, 4).alias("precision"), half_up(r, 4).alias("recall"), half_up(f1, 4).alias("f1"), (F.col("tp") + F.col("fn")).alias("n_true"))

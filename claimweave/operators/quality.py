@@ -116,3 +116,52 @@ def union_area(boxes: DataFrame, image: str = "image_id") -> DataFrame:
 
     kind = dict(boxes.dtypes)[image]
     return boxes.groupBy(image).applyInPandas(run, f"`{image}` {kind}, fraction double, hull array<double>, n bigint")
+
+#: Tags of the main directory and of the photo's own that can identify a person, a place or a device.
+IDENTIFYING_TAGS = frozenset((0x010E, 0x010F, 0x0110, 0x0131, 0x0132, 0x013B, 0x8298, 0x9C9B, 0x9C9D, 0x8825, 0x9003, 0x9004, 0xA420, 0xA430, 0xA431))
+
+
+def exif_tags(content: bytes) -> list[int]:
+    """Numbers of the EXIF tags of a JPEG, of its main directory and those it points at; empty for anything else."""
+    import struct
+
+    if not content or content[:2] != b"\xff\xd8":
+        return []
+    at = 2
+    while at + 4 <= len(content) and content[at] == 0xFF and content[at + 1] not in (0xDA, 0xD9):
+        size = struct.unpack(">H", content[at + 2 : at + 4])[0]
+        body = content[at + 4 : at + 2 + size]
+        if content[at + 1] == 0xE1 and body[:6] == b"Exif\0\0":
+            tiff = body[6:]
+            order = {b"II": "<", b"MM": ">"}.get(tiff[:2])
+            if order is None or len(tiff) < 8:
+                return []
+            found, todo, seen = [], [struct.unpack(order + "I", tiff[4:8])[0]], set()
+            while todo:
+                start = todo.pop()
+                if start in seen or start + 2 > len(tiff):
+                    continue
+                seen.add(start)
+                (n,) = struct.unpack(order + "H", tiff[start : start + 2])
+                for i in range(n):
+                    entry = tiff[start + 2 + 12 * i : start + 14 + 12 * i]
+                    if len(entry) < 12:
+                        break
+                    tag, value = struct.unpack(order + "H", entry[:2])[0], struct.unpack(order + "I", entry[8:12])[0]
+                    found.append(tag)
+                    if tag in (0x8769, 0x8825):
+                        todo.append(value)
+            return found
+        at += 2 + size
+    return []
+
+
+def exif_report(files: DataFrame) -> DataFrame:
+    """(path, n_tags, identifying) of image files (path, content) of the binary file source."""
+
+    @F.pandas_udf("n_tags int, identifying array<int>")
+    def read(content: pd.Series) -> pd.DataFrame:
+        tags = [exif_tags(bytes(c)) if c is not None else [] for c in content]
+        return pd.DataFrame({"n_tags": [len(t) for t in tags], "identifying": [sorted(IDENTIFYING_TAGS & set(t)) for t in tags]})
+
+    return files.select("path", read("content").alias("r")).select("path", "r.*")

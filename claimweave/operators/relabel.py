@@ -72,3 +72,19 @@ def spot_check(rows: DataFrame, label: str, score: str, identity: str, per_class
     least = rows.withColumn("__n", up).where(F.col("__n") <= low).drop("__n")
     most = rows.withColumn("__n", down).where(F.col("__n") <= per_class - low).drop("__n")
     return least.unionByName(most).dropDuplicates([label, identity])
+
+
+def small_crop(crop: Column, min_side: int = 16) -> Column:
+    """Whether a crop [x1, y1, x2, y2] is too small to be told by a classifier."""
+    x1, y1, x2, y2 = (F.get(crop, F.lit(i)) for i in range(4))
+    return F.least(x2 - x1, y2 - y1) < min_side
+
+
+def prompts_to_classes(prompts: dict[str, str]) -> dict[str, str]:
+    """Phrase -> class from class -> phrases separated by `` . ``; the class listed first keeps a phrase."""
+    out: dict[str, str] = {}
+    for name, text in prompts.items():
+        for phrase in text.split(" . "):
+            if phrase.strip():
+                out.setdefault(phrase.strip(), name)
+    return out

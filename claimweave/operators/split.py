@@ -79,3 +79,8 @@ def grouped_split(groups: DataFrame, annotations: DataFrame, label: str, pos: st
 def crossing_groups(assigned: DataFrame) -> DataFrame:
     """Groups with images in more than one split; there should be none."""
     return assigned.groupBy("group_id").agg(F.countDistinct("split").alias("n_splits")).where("n_splits > 1")
+
+
+def seeded_sample(rows: DataFrame, identity: str, n: int, seed: int = 42) -> DataFrame:
+    """``n`` rows in the order of the draw: a sample is what is asked for."""
+    return rows.withColumn("__draw", draw(seed, F.col(identity))).orderBy("__draw", identity).limit(n).drop("__draw")

@@ -18,10 +18,14 @@ _SETTING = "spark.checkpoint.dir"
 def stage_root(spark: SparkSession) -> str:
     """The shared folder for staged tables.
 
-    On a cluster it comes from ``spark.checkpoint.dir``.  A local session that
-    leaves it unset gets a temporary folder of its own, set once a session.
+    On a cluster it comes from ``spark.checkpoint.dir``, or else from the
+    context's checkpoint folder.  A local session that leaves both unset gets a
+    temporary folder of its own, set once a session.
     """
     root = spark.conf.get(_SETTING, None)
+    if not root:
+        own = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = own.get() if own.isDefined() else None
     if not root:
         master = spark.sparkContext.master
         if not master.startswith("local"):

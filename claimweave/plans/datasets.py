@@ -327,6 +327,56 @@ def review_priority_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detections(spark, sf_dir).groupBy("claim_id").agg(mean.alias("score")).orderBy("score", "claim_id").limit(10)
 
 
+@query(_GROUPED + """ select '{"strategy":"grouped","seed":42,"n_images":' || count(*) || ',"n_groups":' || count(distinct group_id) || ',"ratios_requested":{"train":0.7,"val":0.2,"test":0.1},"splits":{"train":' || count(*) filter (where split = 'train')
+  || ',"val":' || count(*) filter (where split = 'val') || ',"test":' || count(*) filter (where split = 'test') || '},"cross_split_groups":0}' as value from assigned""")
+def split_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned = stage(_assigned(spark, sf_dir), "assigned").df
+    return sinks.leakage_audit(assigned, "grouped", 42, {"train": 0.7, "val": 0.2, "test": 0.1})
+
+
+@query(_BASE + "select id, file_name from images order by md5('7:' || id), id limit 50")
+def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty images in the order of a seeded draw: a sample is what this operator is for."""
+    return split.seeded_sample(_images(spark, sf_dir).select("id", "file_name"), "id", 50, 7)
+
+
+@query(_BASE + ", s as (select image_id, avg(fine_conf) as mean from anns where fine_conf is not null and image_id is not null group by 1) select i.id, cast(round(cast(coalesce(s.mean, 0) as decimal(24,8)), 4) as double) as mean from images i left join s on s.image_id = i.id")
+def score_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean confidence of every image, 0 where it has none."""
+    scores = _annotations(spark, sf_dir).where("fine_conf is not null and image_id is not null").groupBy("image_id").agg(F.avg("fine_conf").alias("mean"))
+    return lookup.lookup_value(_images(spark, sf_dir).select("id"), "id", scores, "image_id", "mean", F.lit(0.0)).select("id", half_up(F.col("mean"), 4).alias("mean"))
+
+
+@query(
+    WITH + """, m as (select type as label, case when conf_pct >= 90 and claim_id % 3 > 0 then 'tp' when conf_pct >= 90 then 'fp' else 'fn' end as outcome from detections),
+c as (select label, cast(count(*) filter (where outcome = 'tp') as double) as tp, count(*) filter (where outcome = 'fp') as fp, count(*) filter (where outcome = 'fn') as fn from m group by 1),
+p as (select *, coalesce(tp / nullif(tp + fp, 0), 0) as p, coalesce(tp / nullif(tp + fn, 0), 0) as r from c)
+select label, cast(round(cast(p as decimal(24,8)), 4) as double) as precision, cast(round(cast(r as decimal(24,8)), 4) as double) as recall, cast(round(cast(coalesce(2 * p * r / nullif(p + r, 0), 0) as decimal(24,8)), 4) as double) as f1, cast(tp + fn as bigint) as n_true from p"""
+)
+def precision_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweave.operators.metrics import precision_recall as measure
+
+    outcome = F.when((F.col("conf_pct") >= 90) & (F.col("claim_id") % 3 > 0), "tp").when(F.col("conf_pct") >= 90, "fp").otherwise("fn")
+    return measure(detections(spark, sf_dir).select(F.col("type").alias("label"), outcome.alias("outcome")))
+
+
+@query(WITH + "select claim_id, pos, type || ' on ' || part || ' (' || printf('%.0f', confidence * 100) || '%)' as text from detections")
+def template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweave.functions.templates import render
+
+    text = render("{type} on {part} ({conf:.0%})", {"type": F.col("type"), "part": F.col("part"), "conf": F.col("confidence")})
+    return detections(spark, sf_dir).select("claim_id", "pos", text.alias("text"))
+
+
+@query(WITH + ", v as (select unnest(['scratch', 'dent', 'crack', 'paint_chip', 'puncture', 'broken_light']) as type), z as (select unnest(['front', 'rear', 'front_left', 'front_right', 'rear_left', 'rear_right']) as zone), t as (select distinct type, zone from detections where claim_id % 40 = 0) select v.type, z.zone, 'missing' as gap from v, z where not exists (select 1 from t where t.type = v.type and t.zone = z.zone) union all select type, zone, 'unknown' from t where zone not in (select zone from z) or type not in (select type from v)")
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Combinations of type and zone that a table made of every 40th claim lacks."""
+    from claimweave.functions.vocabulary import ZONES
+
+    table = detections(spark, sf_dir).where("claim_id % 40 = 0").select("type", "zone")
+    return lookup.coverage_gaps(table, {"type": DAMAGE_TYPES, "zone": ZONES})
+
+
 # --- boxes, masks, quality
 
 _ZONE_ROWS = [(p, i, float((i * 37) % 300), float((i * 53) % 200)) for i, p in enumerate(PART_ZONE)]

@@ -116,3 +116,28 @@ def html_table(df: DataFrame, title: str, limit: int = 200) -> str:
     head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
     body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in r) + "</tr>" for r in rows)
     return f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1><table border='1'><tr>{head}</tr>{body}</table></body></html>"
+
+
+_OUTPUT = (
+    "id_evaluacion string, claim_id string, timestamp string, model_version string, lane string, lane_rule_id string, "
+    "damages array<struct<damage_id string>>, estimacion struct<total_eur double>, audit struct<input_hashes array<string>, processing_time_ms bigint>"
+)
+
+
+def audit_from_outputs(outputs: DataFrame, payload: str) -> DataFrame:
+    """Audit fields of evaluation documents, every missing one with its default; nothing else is carried over."""
+    o = outputs.select(F.from_json(payload, _OUTPUT).alias("o")).select("o.*")
+    return o.select(
+        F.coalesce("claim_id", F.lit("")).alias("claim_id"), F.coalesce("id_evaluacion", F.lit("")).alias("id_evaluacion"), F.coalesce("audit.input_hashes", F.array().cast("array<string>")).alias("input_hashes"), F.coalesce("model_version", F.lit("")).alias("model_version"),
+        F.struct(F.coalesce("lane", F.lit("")).alias("lane"), F.greatest(F.size("damages"), F.lit(0)).alias("n_damages"), F.coalesce("estimacion.total_eur", F.lit(0.0)).alias("total_eur")).alias("output_summary"),
+        F.coalesce("audit.processing_time_ms", F.lit(0)).alias("processing_time_ms"), F.coalesce("lane_rule_id", F.lit("")).alias("rule_id_applied"), F.coalesce("timestamp", F.lit("")).alias("timestamp"),
+    )
+
+
+def leakage_audit(assigned: DataFrame, strategy: str, seed: int, ratios: dict[str, float]) -> DataFrame:
+    """One row with the audit of a split (id, group_id, split) as JSON: counts, ratios asked for, groups that cross."""
+    crossing = assigned.groupBy("group_id").agg(F.countDistinct("split").alias("n")).where("n > 1").agg(F.count(F.lit(1))).scalar()
+    splits = F.struct(*[F.count_if(F.col("split") == s).alias(s) for s in ratios])
+    counts = assigned.agg(F.count(F.lit(1)).alias("n_images"), F.countDistinct("group_id").alias("n_groups"), splits.alias("splits"))
+    asked = F.struct(*[F.lit(r).alias(s) for s, r in ratios.items()])
+    return counts.select(F.to_json(F.struct(F.lit(strategy).alias("strategy"), F.lit(seed).alias("seed"), "n_images", "n_groups", asked.alias("ratios_requested"), "splits", crossing.alias("cross_split_groups"))).alias("value"))

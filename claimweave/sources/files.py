@@ -258,3 +258,43 @@ def read_yaml_rows(spark: SparkSession, path: str, at: str, key: str = "key") ->
     for part in at.split(".") if at else []:
         node = node[part]
     return spark.createDataFrame([(str(k), json.dumps(v, ensure_ascii=False)) for k, v in node.items()], f"{key} string, value string")
+
+
+def read_annotations(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
+    """(kind, shapes) of a folder of annotation files: VIA, else FiftyOne, else COCO, the first that yields a shape.
+
+    Shapes have path, file_name, type, polygon, bbox and area.
+    """
+    columns = ("path", "file_name", "type", "polygon", "bbox", "area")
+    for kind, reader in (("via", read_via), ("fiftyone", read_fiftyone)):
+        shapes = reader(spark, path).select(*columns)
+        if not shapes.isEmpty():
+            return kind, shapes
+    coco = read_coco(spark, path)
+    images = coco.images.select("path", F.col("id").alias("image_id"), "file_name")
+    shapes = mapped_annotations(coco).join(images, ["path", "image_id"]).withColumn("polygon", F.get("polygons", F.lit(0)))
+    return "coco", shapes.select(*columns)
+
+
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """(file_name, mean, least, n) of a JSON map of file name to confidence statistics."""
+    entries = spark.read.option("wholetext", "true").text(path).select(F.explode(F.from_json("value", "map<string, struct<mean: double, min: double, count: int>>")).alias("file_name", "s"))
+    return entries.select("file_name", F.col("s.mean").alias("mean"), F.col("s.min").alias("least"), F.col("s.count").alias("n"))
+
+
+def remap_categories(coco: CocoTables, ids: dict[str, int]) -> DataFrame:
+    """Annotations with the id that their category's name has in ``ids``; a name that is not listed keeps its id."""
+    names = coco.categories.select("path", F.col("id").alias("category_id"), "name")
+    table = F.create_map(*[F.lit(x) for k, v in ids.items() for x in (k, v)])
+    joined = coco.annotations.join(names, ["path", "category_id"], "left")
+    return joined.withColumn("category_id", F.coalesce(F.try_element_at(table, F.col("name")), "category_id")).drop("name")
+
+
+def detect(images: DataFrame, detector, schema: str) -> DataFrame:
+    """Rows a detector yields for batches of images: ``detector(batch) -> frame`` runs inside the tasks."""
+
+    def run(batches):
+        for batch in batches:
+            yield detector(batch)
+
+    return images.mapInPandas(run, schema)

@@ -310,6 +310,59 @@ def test_coco_document(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t" / "images")).count() == 1
 
 
+def test_dispatch_scores_and_remapping(spark, exports, tmp_path):
+    assert sources.read_annotations(spark, str(exports / "via"))[0] == "via"
+    assert sources.read_annotations(spark, str(exports / "fo"))[0] == "fiftyone"
+    kind, shapes = sources.read_annotations(spark, str(exports / "coco"))
+    assert kind == "coco" and shapes.count() == 2
+    (tmp_path / "scores.json").write_text('{"a.jpg": {"mean": 0.5, "min": 0.25, "count": 2}, "b.jpg": {}}')
+    assert rows(sources.read_scores(spark, str(tmp_path / "scores.json"))) == {("a.jpg", 0.5, 0.25, 2), ("b.jpg", None, None, None)}
+    coco = sources.read_coco(spark, str(exports / "coco"), "coco.json")
+    assert rows(sources.remap_categories(coco, {"Dent": 7}).select("id", "category_id")) == {(1, 7), (2, 7), (3, 2)}
+    import pandas as pd
+
+    found = sources.detect(coco.images.select("id"), lambda b: pd.DataFrame({"id": b["id"], "n": 1}), "id bigint, n int")
+    assert rows(found) == {(1, 1), (2, 1)}
+
+
+def test_exif_tags(spark, tmp_path):
+    entry = lambda tag, value: struct.pack("<HHII", tag, 4, 1, value)
+    tiff = b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", 2) + entry(0x010F, 0) + entry(0x8825, 38) + struct.pack("<I", 0) + struct.pack("<H", 1) + entry(2, 0) + struct.pack("<I", 0)
+    body = b"Exif\0\0" + tiff
+    (tmp_path / "a.jpg").write_bytes(b"\xff\xd8\xff\xe1" + struct.pack(">H", len(body) + 2) + body + b"\xff\xd9")
+    (tmp_path / "b.jpg").write_bytes(b"\xff\xd8\xff\xd9")
+    (tmp_path / "c.jpg").write_bytes(b"x")
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    got = {filename["path"].rsplit("/", 1)[1]: (filename["n_tags"], filename["identifying"]) for filename in quality.exif_report(files).collect()}
+    assert got == {"a.jpg": (3, [0x010F, 0x8825]), "b.jpg": (0, []), "c.jpg": (0, [])}
+
+
+def test_templates(spark):
+    from claimweave.functions.templates import data_uri, evaluation_id, render
+
+    df = spark.createDataFrame([("x", 0.256, None)], "a string, b double, c string")
+    say = lambda t: df.select(render(t, {"a": F.col("a"), "b": F.col("b"), "c": F.col("c")})).first()[0]
+    assert say("{a}: {b:.0%} {b:.1f} {c}!") == "x: 26% 0.3 None!"
+    assert say("{a} {zzz}") == "{a} {zzz}" and say("plain") == "plain" and say("") == ""
+    assert df.select(evaluation_id(F.col("a"), F.lit("2024-01-02T00:00:00Z"))).first()[0].startswith("EVA-20240102-")
+    assert df.select(data_uri(F.encode("a", "UTF-8"))).first()[0] == "data:image/png;base64,eA=="
+
+
+def test_small_operators(spark):
+    from claimweave.operators import lookup, metrics
+
+    assert relabel.prompts_to_classes({"a": "x . y", "b": "y . z . "}) == {"x": "a", "y": "a", "z": "b"}
+    assert column(spark, [0, 0, 10, 40], "c array<int>", relabel.small_crop(F.col("c"))) is True
+    table = spark.createDataFrame([("a", "x"), ("q", "x")], "k string, v string")
+    assert rows(lookup.coverage_gaps(table, {"k": ("a", "b"), "v": ("x",)})) == {("b", "x", "missing"), ("q", "x", "unknown")}
+    m = spark.createDataFrame([("a", "tp"), ("a", "fp"), ("a", "fn"), ("a", "tp"), ("b", "fn")], "label string, outcome string")
+    assert rows(metrics.precision_recall(m)) == {("a", 0.6667, 0.6667, 0.6667, 3), ("b", 0.0, 0.0, 0.0, 1)}
+    docs = spark.createDataFrame([('{"id_evaluacion": "E", "claim_id": "c", "lane": "verde", "damages": [{"damage_id": "C1"}], "estimacion": {"total_eur": 3.5}, "audit": {"input_hashes": ["h"], "processing_time_ms": 4}, "name": "secret"}',), ("{}",)], "p string")
+    out = sinks.audit_from_outputs(docs, "p").collect()
+    assert sorted(out[0].asDict()) == sorted(sinks.AUDIT_FIELDS)
+    assert out[0]["output_summary"].asDict() == {"lane": "verde", "n_damages": 1, "total_eur": 3.5} and out[1]["output_summary"]["n_damages"] == 0
+
+
 # --- contracts
 
 SCHEMA = {

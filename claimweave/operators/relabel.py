@@ -12,8 +12,9 @@ def dot(a: Column, b: Column) -> Column:
 
 def unit(vector: Column) -> Column:
     """The vector scaled to length 1; a zero vector stays."""
-    norm = F.sqrt(dot(vector, vector))
-    return F.transform(vector, lambda v: F.coalesce(F.try_divide(v.cast("double"), norm), F.lit(0.0)))
+    norm = F.array(F.sqrt(dot(vector, vector)))
+    # bound as a lambda's variable, the norm is computed once a vector and not once a position
+    return F.get(F.transform(norm, lambda n: F.transform(vector, lambda v: F.coalesce(F.try_divide(v.cast("double"), n), F.lit(0.0)))), F.lit(0))
 
 
 def prototypes(rows: DataFrame, label: str, vector: str) -> DataFrame:

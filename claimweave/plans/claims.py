@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions.numeric import half_up
+from claimweave.functions.times import nulls_last
 from claimweave.functions.vocabulary import KEYWORD_PARTS, SEVERITIES
 from claimweave.operators import consolidate as con
 from claimweave.operators import lookup, metrics
@@ -213,7 +214,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ground_truth.es_estructural").alias("structural_truth"), "severity_pred", F.col("ground_truth.severidad_oficial").alias("severity_truth"), F.when(F.col("processing_time_ms") >= 0, F.col("processing_time_ms")).alias("processing_time_ms"),
     )
     fields = [c for c in rows.columns if c not in ("record_id", "received_at")]
-    return rows.groupBy("record_id").agg(F.min_by(F.struct(*fields), "received_at").alias("r")).select("record_id", "r.*")
+    return rows.groupBy("record_id").agg(F.min_by(F.struct(*fields), nulls_last("received_at")).alias("r")).select("record_id", "r.*")
 
 
 _RECORDS = """

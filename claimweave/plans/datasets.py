@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimweave.functions import geometry as geo
 from claimweave.functions.numeric import half_up
+from claimweave.functions.times import nulls_last
 from claimweave.functions.vocabulary import COARSE_TO_FINE, DAMAGE_TYPES, PART_ZONE, SIDE_ZONES
 from claimweave.operators import annotations as ann
 from claimweave.operators import lookup, neardup, quality, relabel, split
@@ -38,14 +39,14 @@ def query(sql: str | None = None):
 def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per image id, the first ingested."""
     t = read_table(spark, sf_dir, "coco_images").where("id is not null")
-    return t.groupBy("id").agg(F.min_by(F.struct("file_name", "width", "height", "source", "build_id", "dhash"), "ingested_at").alias("i")).select("id", "i.*")
+    return t.groupBy("id").agg(F.min_by(F.struct("file_name", "width", "height", "source", "build_id", "dhash"), nulls_last("ingested_at")).alias("i")).select("id", "i.*")
 
 
 def _annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per annotation id, the first received, outlines parsed."""
     t = read_table(spark, sf_dir, "coco_annotations").where("id is not null")
     fields = ("image_id", "category_id", "bbox", "area", "segmentation", "fine_conf")
-    one = t.groupBy("id").agg(F.min_by(F.struct(*fields), "received_at").alias("a")).select("id", "a.*")
+    one = t.groupBy("id").agg(F.min_by(F.struct(*fields), nulls_last("received_at")).alias("a")).select("id", "a.*")
     return one.withColumn("polygons", F.from_json("segmentation", "array<array<double>>"))
 
 

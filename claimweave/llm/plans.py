@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions.filenames import shot_number, vehicle_number
+from claimweave.functions.times import nulls_last
 from claimweave.llm import canonical, groups, leakage, mixing, overlap, quantiles, splits, truncation
 from claimweave.operators.staging import stage
 from claimweave.session import read_table
@@ -14,9 +15,9 @@ from claimweave.session import read_table
 
 
 def _typed_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per claim with its first-received brand and model, entries of the list left out."""
+    """One row per claim with its first-received brand and model (of equal times the smallest), entries of the list left out."""
     typed = read_table(spark, sf_dir, "vehicle_metadata").where("claim_id is not null")
-    one = typed.groupBy("claim_id").agg(F.min_by(F.struct("marca", "modelo"), "received_at").alias("t")).select("claim_id", "t.marca", "t.modelo")
+    one = typed.groupBy("claim_id").agg(F.min(F.struct(nulls_last("received_at").alias("at"), "marca", "modelo")).alias("t")).select("claim_id", "t.marca", "t.modelo")
     listed = read_table(spark, sf_dir, "vehicle_catalog").select("marca", "modelo").distinct()
     return one.where("marca is not null or modelo is not null").join(listed, ["marca", "modelo"], "left_anti").select("claim_id", "marca", "modelo")
 
@@ -53,7 +54,7 @@ def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     lane = F.translate(F.lower(F.trim("lane")), "á", "a")
     code = F.when(lane == LANES[0], 0).when(lane == LANES[1], 1).when(lane == LANES[2], 2).cast("tinyint")
     rows = read_table(spark, sf_dir, "claim_metrics").where("record_id is not null").select(
-        "record_id", "received_at", code.alias("lane"), F.unix_date(F.to_date("evaluated_at")).alias("day"), quantiles.measured(F.col("estimated_eur")).alias("eur"), quantiles.measured(F.col("processing_time_ms")).alias("ms")
+        "record_id", nulls_last("received_at").alias("received_at"), code.alias("lane"), F.unix_date(F.to_date("evaluated_at")).alias("day"), quantiles.measured(F.col("estimated_eur")).alias("eur"), quantiles.measured(F.col("processing_time_ms")).alias("ms")
     )
     first = [F.min_by(c, "received_at").alias(c) for c in ("lane", "day", "eur", "ms")]
     one = rows.groupBy("record_id").agg(*first).where("lane is not null")

@@ -252,3 +252,19 @@ def test_groups_against_union_find(spark, seed):
 
 def test_no_pairs(spark):
     assert groups.group_pairs(spark.createDataFrame([(1, 1), (None, 2)], "a bigint, b bigint"), "a", "b").count() == 0
+
+
+def test_claims_and_records_without_a_time_are_kept(spark, tmp_path):
+    from claimweave.llm import plans
+
+    typed = spark.createDataFrame([("a", "Selm1hi", "Nortresone", None), ("b", "Selmihi", "Nortresone", None), ("c", None, None, None), (None, "x", "y", None), ("d", "", "", "2024-01-01"), ("e", "moto", "x", "2024-01-02"), ("e", "Selmihi", "Xx", "2024-01-01"), ("e", "Selmihi", "Aa", "2024-01-01")], "claim_id string, marca string, modelo string, at string")
+    typed.selectExpr("*", "cast(at as timestamp) as received_at", "1 as entry_id").write.parquet(str(tmp_path / "vehicle_metadata.parquet"))
+    spark.createDataFrame(CATALOGUE, "catalog_id bigint, marca string, marca_alias string, modelo string").write.parquet(str(tmp_path / "vehicle_catalog.parquet"))
+    assert rows(plans.p1_found(spark, str(tmp_path))) == {("a", 6), ("d", 0), ("e", 0)}
+    misses = {(r["marca"], r["modelo"]) for r in plans.p1_misses(spark, str(tmp_path)).collect()}
+    assert misses == {("", ""), ("Selmihi", "Aa")}
+    records = spark.createDataFrame([(1, "Verde ", 10.0, 5, None), (1, "verde", 99.0, 5, "2025-01-01"), (2, "ámbar", float("nan"), None, None), (3, None, 1.0, 1, None), (None, "rojo", 1.0, 1, None)], "record_id bigint, lane string, estimated_eur double, processing_time_ms bigint, at string")
+    records.selectExpr("*", "cast(at as timestamp) as received_at", "timestamp'2024-05-05 10:00:00' as evaluated_at").write.parquet(str(tmp_path / "claim_metrics.parquet"))
+    got = plans.p2_lane_percentiles(spark, str(tmp_path)).where("percentile = 0.5 and day is null").collect()
+    assert {(r["lane"], r["measure"], r["n"]) for r in got} == {("verde", "estimated_eur", 1), ("verde", "processing_time_ms", 1)}
+    assert next(r for r in got if r["measure"] == "estimated_eur")["value_low"] <= 99.0 <= next(r for r in got if r["measure"] == "estimated_eur")["value_high"]

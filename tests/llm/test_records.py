@@ -21,7 +21,7 @@ CATALOGUE = [(1, "Véduolamo", "VEO", "Rarilneven"), (2, "Véduolamo", "VEO", "D
 TYPED = [
     ("Véduolamo", "Dunejas", 2), ("VEDUOLAMO", "dunéjas 1.6 TDI", 2), ("veo", "Dunéjas", 2), ("V.E.O.", "Dunéjas II", 2), ("Vèduolmo", "Dunéjxs", 2), ("Dunéjas", "Véduolamo", 2), ("Dunéjas (Véduolamo)", None, 2), (None, "Véduolamo-Dunéjas", 2),
     ("", "Dunéjas", 2), ("-", "Dunéjas", 2), ("desconocido", "Dunéjas", 2), (None, "Bracatorsel", 0), ("Selmihi", "Bracatorsel", 3), ("Gocámdorlan", "Bracatorsel aut.", 4), ("Selm1hi", "N0rtresone", 6), ("Sel mihi", "Nor-tresone", 6), ("Selmihi", "Xipimife", 0),
-    ("Selmihi", None, 0), ("Selmihi", "", 0), ("Jastortor", "Duminemi", 0), ("Jastortor", "Nortresone", 0), ("moto", "x", 0), ("?", "??", 0), ("", "", 0), ("Selmihi", "Chomicamdor", 0), ("  Selmihi ", "nORTRESONE -", 6), ("x" * 5000, "Nortresone " + "y" * 5000, 0),
+    ("Selmihi", None, 0), ("Selmihi", "", 0), ("Jastortor", "Duminemi", 0), ("Jastortor", "Nortresone", 0), ("moto", "x", 0), ("?", "??", 0), ("", "", 0), ("Selmihi", "Chomicamdor", 0), ("  Selmihi ", "nORTRESONE -", 6), ("x" * 5000, "Nortresone " + "y" * 5000, 0), ("Selmihi " * 3000, "Nortresone " * 3000, 6),
 ]
 
 

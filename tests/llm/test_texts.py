@@ -232,6 +232,14 @@ def test_near_copies_are_found_in_small_and_crowded_bands(spark, monkeypatch, bl
     assert {k for k, v in got.items() if v} == {100 + i for i in range(12)}
 
 
+def test_very_long_texts(spark, texts):
+    whole, _ = texts
+    long = "\n".join(whole * 12)
+    data = [(i, t) for i, t in enumerate(whole[:200])] + [(900, long + "\nLa pieza llega en 12 días labora"), (901, long), (902, "x" * 300_000)]
+    got = {r["doc_id"] for r in truncation.find_truncated(spark.createDataFrame(data, "doc_id bigint, text string")).where("cut").collect()}
+    assert 900 in got and not got & {901, 902}
+
+
 def test_no_documents(spark):
     assert truncation.find_truncated(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 

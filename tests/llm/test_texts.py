@@ -232,6 +232,36 @@ def test_near_copies_are_found_in_small_and_crowded_bands(spark, monkeypatch, bl
     assert {k for k, v in got.items() if v} == {100 + i for i in range(12)}
 
 
+def test_crowded_near_copies_that_differ_early(spark):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(4000)]
+    shared = rng.choices(vocabulary, k=90)
+    # one template sentence under all texts, so that the bands it wins hold all of them
+    full = [f"Inicio {' '.join(shared)} {' '.join(rng.choices(vocabulary, k=24))} {word} final" for word in vocabulary[:60]]
+    cut = [f"Otro{t[: int(len(t) * 0.94)].rsplit(' ', 1)[0][6:]}" for t in full]
+    longest = f"{' '.join(shared)} {' '.join(rng.choices(vocabulary, k=300))}"
+    df = spark.createDataFrame([*enumerate(full), *((100 + i, t) for i, t in enumerate(cut)), (900, longest)], "key bigint, text string")
+    sizes = df.mapInPandas(truncation._bands, "key bigint, band int, bucket bigint, length int").groupBy("band", "bucket").count()
+    assert sizes.agg(F.max("count")).first()[0] > truncation.BLOCK
+    crowded = {tuple(r) for r in truncation._crowded_pairs(df).collect()}
+    parts = {r["key"]: truncation._parts(r["text"]) for r in df.collect()}
+    alike = {(a, b) for a in parts for b in parts if a != b and truncation._shown(parts[a], parts[b]) is not None}
+    assert {(100 + i, i) for i in range(60)} <= alike <= crowded
+    assert len(crowded) < 400
+
+def test_crowds_of_one_text_give_every_verdict(spark, monkeypatch):
+    # versions of one text, each 0.8 alike to any other and different in an early word: all bands are crowded
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(900)]
+    body = rng.choices(vocabulary, k=140)
+    full = [" ".join([f"{vocabulary[i]}", *body, vocabulary[100 + i], "fin"]) + "." for i in range(40)]
+    cut = [" ".join([f"{vocabulary[200 + i]}", *body[: 132 + i % 6]]) for i in range(40)]
+    df = spark.createDataFrame([*enumerate(full), *((100 + i, t) for i, t in enumerate(cut))], "key bigint, text string")
+    monkeypatch.setattr(truncation, "SLICE", 7)
+    got = {r["key"]: r["cut"] for r in truncation.copy_verdicts(df).collect()}
+    assert {k for k, v in got.items() if v} == {100 + i for i in range(40)}
+
+
 def test_very_long_texts(spark, texts):
     whole, _ = texts
     long = "\n".join(whole * 12)

@@ -378,6 +378,14 @@ def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.coverage_gaps(table, {"type": DAMAGE_TYPES, "zone": ZONES})
 
 
+@query(WITH + ", v as (select unnest(['scratch', 'dent', 'crack', 'paint_chip', 'puncture', 'broken_light']) as type), z as (select unnest(['front', 'rear', 'front_left', 'front_right', 'rear_left', 'rear_right']) as zone), t as (select distinct type, zone from detections) select v.type, z.zone, 'missing' as gap from v, z where not exists (select 1 from t where t.type = v.type and t.zone = z.zone) union all select type, zone, 'unknown' from t where zone not in (select zone from z) or type not in (select type from v)")
+def coverage_gaps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Combinations of type and zone that all detections lack, and those they have outside the vocabularies."""
+    from claimweave.functions.vocabulary import ZONES
+
+    return lookup.coverage_gaps(detections(spark, sf_dir).select("type", "zone"), {"type": DAMAGE_TYPES, "zone": ZONES})
+
+
 # --- boxes, masks, quality
 
 _ZONE_ROWS = [(p, i, float((i * 37) % 300), float((i * 53) % 200)) for i, p in enumerate(PART_ZONE)]

@@ -363,6 +363,16 @@ def test_small_operators(spark):
     assert out[0]["output_summary"].asDict() == {"lane": "verde", "n_damages": 1, "total_eur": 3.5} and out[1]["output_summary"]["n_damages"] == 0
 
 
+def test_gaps_of_all_detections_hold_against_a_count(spark, sf_dir):
+    from claimweave.functions.vocabulary import DAMAGE_TYPES, ZONES
+    from claimweave.plans import datasets
+    from claimweave.plans.adapter import detections
+
+    seen = rows(detections(spark, sf_dir).select("type", "zone").distinct())
+    every = {(t, z) for t in DAMAGE_TYPES for z in ZONES}
+    assert rows(datasets.coverage_gaps_all(spark, sf_dir)) == {(*c, "missing") for c in every - seen} | {(*c, "unknown") for c in seen - every}
+
+
 # --- contracts
 
 SCHEMA = {

@@ -10,6 +10,7 @@ values that are not finite count as missing; repeated records count each.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -118,35 +119,64 @@ def bootstrap_exact(values: DataFrame, value: str, keys: list[str], statistic: C
     return values.groupBy(*keys).applyInPandas(run, ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "low double", "high double"]))
 
 
-def bootstrap_mean(values: DataFrame, value: str, keys: list[str], resamples: int = 200, seed: int = 42, alpha: float = 0.05) -> DataFrame:
+def _poisson_steps(mean: int) -> tuple[int, np.ndarray]:
+    """(first count, cumulated probabilities from there on) of a Poisson draw; what lies outside is below 1e-16."""
+    low, high = max(0, int(mean - 10 * mean**0.5 - 10)), int(mean + 10 * mean**0.5 + 20)
+    k = np.arange(low, high + 1)
+    return low, np.cumsum(np.exp(k * math.log(mean) - mean - np.array([math.lgamma(x + 1) for x in k.tolist()])))
+
+
+def _uniform(row: int, resamples: int) -> np.ndarray:
+    """A number in [0, 1) for each resample, from a hash of row and resample."""
+    with np.errstate(over="ignore"):
+        h = np.uint64(row & (2**64 - 1)) + np.arange(1, resamples + 1, dtype="uint64") * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+    return (h >> np.uint64(11)).astype("float64") / 2**53
+
+
+def bootstrap_mean(values: DataFrame, value: str, keys: list[str], resamples: int = 2000, seed: int = 42, alpha: float = 0.05) -> DataFrame:
     """(*keys, low, high) of the mean for groups of any size.
 
-    Every row is drawn a Poisson(1) number of times in each resample, from a
-    hash of row and resample, and partial sums combine on the map side: one
-    aggregation of resamples x keys cells, nothing per row is gathered.
+    Every row is drawn a Poisson(1) number of times in each resample, so n equal
+    rows together a Poisson(n) number, from a hash of their keys, value and the
+    resample: the bounds do not depend on the partitions.  Partial sums combine
+    on the map side: one aggregation of resamples x keys cells.
     """
     kinds = dict(values.dtypes)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[tuple, np.ndarray] = {}
-        from pyspark import TaskContext
+        steps: dict[int, tuple[int, np.ndarray]] = {}
+
+        def frame() -> pd.DataFrame:
+            rows = [(*k, r, s[r, 0], s[r, 1]) for k, s in sums.items() for r in range(resamples)]
+            return pd.DataFrame(rows, columns=[*keys, "resample", "s", "n"])
 
-        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
         for batch in batches:
-            batch = batch[batch[value].notna()]
             for key, part in batch.groupby(keys, dropna=False, sort=False) if keys else [((), batch)]:
                 key = key if isinstance(key, tuple) else (key,)
-                x = part[value].to_numpy("float64")
                 total = sums.setdefault(key, np.zeros((resamples, 2)))
-                for lo in range(0, len(x), 4096):
-                    draws = rng.poisson(1.0, (resamples, len(x[lo : lo + 4096])))
-                    total[:, 0] += draws @ x[lo : lo + 4096]
-                    total[:, 1] += draws.sum(axis=1)
-        rows = [(*k, r, s[r, 0], s[r, 1]) for k, s in sums.items() for r in range(resamples)]
-        yield pd.DataFrame(rows, columns=[*keys, "resample", "s", "n"])
+                for row, x, n in zip(part["__row"].tolist(), part["__x"].tolist(), part["__n"].tolist(), strict=True):
+                    if n not in steps:
+                        if len(steps) >= 1000:
+                            steps.clear()
+                        steps[n] = _poisson_steps(n)
+                    first, chances = steps[n]
+                    draws = first + np.searchsorted(chances, _uniform(row, resamples), side="right")
+                    total[:, 0] += draws * x
+                    total[:, 1] += draws
+                if len(sums) >= 500:
+                    yield frame()
+                    sums.clear()
+        if sums:
+            yield frame()
 
     schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "resample int", "s double", "n double"])
-    means = values.select(*keys, value).mapInPandas(partial, schema).groupBy(*keys, "resample").agg((F.sum("s") / F.nullif(F.sum("n"), F.lit(0))).alias("m"))
+    equal = values.select(*keys, F.col(value).cast("double").alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x")).groupBy(*keys, "__x").agg(F.count(F.lit(1)).alias("__n"))
+    rows = equal.select(*keys, "__x", "__n", F.xxhash64(F.lit(seed), *keys, "__x").alias("__row"))
+    means = rows.mapInPandas(partial, schema).groupBy(*keys, "resample").agg((F.sum("s") / F.nullif(F.sum("n"), F.lit(0))).alias("m"))
     return means.groupBy(*keys).agg(F.round(F.percentile("m", alpha / 2), 3).alias("low"), F.round(F.percentile("m", 1 - alpha / 2), 3).alias("high"))
 
 

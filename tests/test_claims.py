@@ -185,6 +185,17 @@ def test_bootstrap_intervals_hold_the_mean(spark):
     assert metrics.bootstrap_exact(df.where("g = 'b'"), "v", ["g"]).first()["low"] is None
 
 
+def test_bootstrap_bounds_do_not_depend_on_partitions(spark):
+    rng = random.Random(8)
+    values = [round(rng.gauss(10, 2), 1) for _ in range(600)]
+    df = spark.createDataFrame([("a", v) for v in values], "g string, v double")
+    one, many = (metrics.bootstrap_mean(df.repartition(n), "v", ["g"]).first() for n in (1, 7))
+    assert one == many
+    # equal rows are drawn apart: the width is that of the exact bootstrap
+    exact = metrics.bootstrap_exact(df, "v", ["g"]).first()
+    assert abs(one["low"] - exact["low"]) < 0.03 and abs(one["high"] - exact["high"]) < 0.03
+
+
 def test_calibration_helps(spark, tmp_path):
     rng = random.Random(6)
     truth = {0.5: 0.45, 0.7: 0.5, 0.9: 0.55, 0.95: 0.6}

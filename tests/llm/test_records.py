@@ -40,6 +40,19 @@ def test_dictionary_and_join_agree(spark):
     assert by_broadcast == by_join == {(f"c{i}", want) for i, (_, _, want) in enumerate(TYPED)}
 
 
+def test_ties_and_long_terms_agree_both_ways(spark):
+    long = "".join(random.Random(2).choices("abcdefghklmnp", k=80))
+    names = ("catalog_id", "marca", "marca_alias", "modelo")
+    cat = spark.createDataFrame([(1, "Bravixo", None, "Tarsola"), (2, "Bravixo", None, "Tarsole"), (3, "Bravixo", None, long)], "catalog_id bigint, marca string, marca_alias string, modelo string")
+    data = [("c0", "Bravixo", "Tarsolt"), *((f"c{i}", "Bravixo", "Tarsole") for i in (1, 2, 3)), ("c4", "Bravixo", "Tarsola"), ("c5", "Bravixo", long)]
+    typed = spark.createDataFrame(data, "claim_id string, marca string, modelo string")
+    lexicon = canonical.load_lexicon(cat, typed, *names)
+    by_broadcast = rows(canonical.resolve_pairs(typed, lexicon, "marca", "modelo").select("claim_id", "entry_id", "cost"))
+    by_join = rows(canonical.resolve_by_join(typed, cat, "claim_id", "marca", "modelo", names).select("claim_id", "entry_id", "cost"))
+    assert by_join == by_broadcast
+    assert {(c, e) for c, e, _ in by_join} == {("c0", 2), ("c1", 2), ("c2", 2), ("c3", 2), ("c4", 1), ("c5", 3)}
+
+
 def test_empty_list_and_empty_table(spark):
     empty = canonical.Lexicon([])
     assert canonical.resolve(empty, "Selmihi", "Nortresone")[0] == 0

@@ -241,7 +241,7 @@ def test_crowded_near_copies_that_differ_early(spark):
     cut = [f"Otro{t[: int(len(t) * 0.94)].rsplit(' ', 1)[0][6:]}" for t in full]
     longest = f"{' '.join(shared)} {' '.join(rng.choices(vocabulary, k=300))}"
     df = spark.createDataFrame([*enumerate(full), *((100 + i, t) for i, t in enumerate(cut)), (900, longest)], "key bigint, text string")
-    sizes = df.mapInPandas(truncation._bands, "key bigint, band int, bucket bigint, length int").groupBy("band", "bucket").count()
+    sizes = df.mapInPandas(truncation._bands, truncation._BANDS).groupBy("band", "bucket").count()
     assert sizes.agg(F.max("count")).first()[0] > truncation.BLOCK
     crowded = {tuple(r) for r in truncation._crowded_pairs(df).collect()}
     parts = {r["key"]: truncation._parts(r["text"]) for r in df.collect()}
@@ -262,6 +262,15 @@ def test_crowds_of_one_text_give_every_verdict(spark, monkeypatch):
     assert {k for k, v in got.items() if v} == {100 + i for i in range(40)}
 
 
+def test_markup_does_not_make_a_cut_text_the_longer_one(spark):
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(900)]
+    words = rng.choices(vocabulary, k=80)
+    cut = "".join(f"<span>{w}</span> " for w in words[:75])
+    df = spark.createDataFrame([(1, " ".join(words) + "."), (2, cut)], "key bigint, text string")
+    assert {tuple(r) for r in truncation.copy_verdicts(df).collect()} == {(2, True)}
+
+
 def test_very_long_texts(spark, texts):
     whole, _ = texts
     long = "\n".join(whole * 12)

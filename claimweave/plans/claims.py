@@ -442,7 +442,7 @@ def streaming_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streaming_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimweave.streaming.monitor import running_damages
 
-    lines = _stream(spark, sf_dir, "lineitem").where("l_linenumber <= 3")
+    lines = _stream(spark, sf_dir, "lineitem")
     rows = lines.select(F.col("l_orderkey").alias("claim_id"), F.col("l_returnflag").alias("type"), F.col("l_linestatus").alias("part"), F.col("l_discount").alias("confidence"))
     out = _run_stream(running_damages(rows), "damages", "update")
     return out.groupBy("claim_id").agg(F.max_by(F.struct("n_detections", "n_damages", "best"), "batch").alias("r")).select("claim_id", "r.*")

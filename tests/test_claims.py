@@ -216,3 +216,11 @@ def test_calibration_helps(spark, tmp_path):
     assert metrics.calibration_error(curve).first()["ece"] > 0.2
     perfect = spark.createDataFrame([(1.0, 1.0)] * 5 + [(0.0, 0.0)] * 5, "confidence double, label double")
     assert metrics.calibration_error(metrics.reliability_curve(perfect)).first()["ece"] == 0.0
+
+
+def test_the_stream_of_damages_has_every_line(spark, sf_dir):
+    from claimweave.plans import claims
+
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_orderkey is not null")
+    want = lines.groupBy(F.col("l_orderkey").cast("string")).agg(F.count(F.lit(1)), F.max("l_discount").cast("double"))
+    assert rows(claims.streaming_consolidate(spark, sf_dir).select("claim_id", "n_detections", "best")) == rows(want)

@@ -238,7 +238,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """(split, file, class_id, polygon) of label lines below labels/<split>/; lines of fewer than seven tokens are left out."""
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(path).select(F.input_file_name().alias("file"), F.split(F.trim("value"), r"\s+").alias("t"))
     return lines.where(F.size("t") >= 7).select(
-        F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("split"), F.regexp_extract("file", r"([^/]+)\.txt$", 1).alias("stem"), F.get("t", F.lit(0)).cast("int").alias("class_id"), F.transform(F.slice("t", 2, 100_000), lambda v: v.cast("double")).alias("polygon")
+        F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("split"), F.regexp_extract("file", r"([^/]+)\.txt$", 1).alias("stem"), F.get("t", F.lit(0)).cast("int").alias("class_id"), F.transform(F.slice("t", F.lit(2), F.size("t") - 1), lambda v: v.cast("double")).alias("polygon")
     )
 
 

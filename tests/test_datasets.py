@@ -276,6 +276,12 @@ def test_label_files_round_trip(spark, tmp_path):
     assert "names:\n  0: x" in sinks.dataset_yaml("d", ("x",))
 
 
+def test_long_outlines_are_read_whole(spark, tmp_path):
+    (tmp_path / "labels" / "train").mkdir(parents=True)
+    (tmp_path / "labels" / "train" / "a.txt").write_text("1 " + " ".join(["0.5"] * 100_002) + "\n")
+    assert [len(r["polygon"]) for r in sources.read_labels(spark, str(tmp_path / "labels")).collect()] == [100_002]
+
+
 def test_cvat_sink_round_trips(spark, tmp_path):
     images = spark.createDataFrame([(7, 0, 'a"&.jpg', 10, 20)], "id bigint, review_order int, file_name string, width int, height int")
     shapes = spark.createDataFrame([(7, 1, "dent", [0.0, 0.0, 4.0, 0.0, 4.0, 3.0, 0.0, 3.0], 0.5), (7, 2, "dent", [0.0] * 8, 0.1)], "image_id bigint, ordinal int, label string, polygon array<double>, confidence double")

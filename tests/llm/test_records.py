@@ -53,6 +53,14 @@ def test_ties_and_long_terms_agree_both_ways(spark):
     assert {(c, e) for c, e, _ in by_join} == {("c0", 2), ("c1", 2), ("c2", 2), ("c3", 2), ("c4", 1), ("c5", 3)}
 
 
+def test_a_near_place_counts_among_many_exact_ones_behind():
+    lexicon = canonical.Lexicon([(1, "Bravixo", None, "Tarsola"), (2, "Bravixo", None, "Quimberto")])
+    # one wrong letter at the start costs less than the words before the exact places
+    model = " ".join(["Tarsolt", *["gris"] * 30, *["Tarsola"] * 5])
+    near = canonical.resolve(lexicon, "Bravixo", "Tarsolt")
+    assert near[0] == 1 and canonical.resolve(lexicon, "Bravixo", model) == near
+
+
 def test_empty_list_and_empty_table(spark):
     empty = canonical.Lexicon([])
     assert canonical.resolve(empty, "Selmihi", "Nortresone")[0] == 0

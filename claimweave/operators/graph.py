@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimweave.operators.skew import lookup_join
 from claimweave.operators.staging import Staged, stage
 
 
@@ -28,24 +29,30 @@ def pointer_jump(parents: Staged) -> Staged:
     """Roots of a forest (node, parent) by pointer doubling.
 
     A root points at itself.  Each round replaces a parent by the parent's
-    parent, so a chain of length n needs log2(n) rounds.  Only nodes whose
-    parent is not yet a root are joined again.
+    parent, so a chain of length n needs log2(n) rounds.  Parents are looked at
+    once each, however many nodes point at them, and a round is written only if
+    some parent is no root yet; nodes meet the parents that move by a join in
+    which those with a large share of all nodes are kept apart.
     """
     while True:
         table = parents.df
-        up = table.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
-        jumped = table.join(up, "parent", "left").select("node", F.coalesce("grand", "parent").alias("parent"), (F.col("grand") != F.col("parent")).alias("moved"))
-        after = stage(jumped, "jump")
+        heads = table.select(F.col("parent").alias("node")).distinct()
+        moves = stage(heads.join(table, "node").where("parent <> node").select(F.col("node").alias("parent"), F.col("parent").alias("grand")), "moves")
+        if moves.empty():
+            moves.drop()
+            return parents
+        after = stage(lookup_join(table, moves.df, "parent").select("node", F.coalesce("grand", "parent").alias("parent")), "jump")
         parents.drop()
-        if after.df.where("moved").isEmpty():
-            return Staged(after.spark, after.path, after.df.select("node", "parent").schema)
-        parents = Staged(after.spark, after.path, after.df.select("node", "parent").schema)
+        moves.drop()
+        parents = after
 
 
 def contract(edges: Staged, roots: Staged) -> Staged:
-    """Edges between roots: both ends replaced, loops and repeats dropped."""
-    r = roots.df
-    ends = edges.df.join(r.select(F.col("node").alias("u"), F.col("parent").alias("ru")), "u").join(r.select(F.col("node").alias("v"), F.col("parent").alias("rv")), "v")
+    """Edges between roots: both ends replaced, loops and repeats dropped; the edges of a hub are spread."""
+    r = roots.df.where("node <> parent")
+    left = lookup_join(edges.df, r.select(F.col("node").alias("u"), F.col("parent").alias("ru")), "u")
+    both = lookup_join(left, r.select(F.col("node").alias("v"), F.col("parent").alias("rv")), "v")
+    ends = both.select(F.coalesce("ru", "u").alias("ru"), F.coalesce("rv", "v").alias("rv"))
     return stage(undirected(ends, "ru", "rv"), "edges")
 
 

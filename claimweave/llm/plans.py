@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions.filenames import shot_number, vehicle_number
 from claimweave.functions.times import nulls_last
 from claimweave.llm import canonical, groups, leakage, mixing, overlap, quantiles, splits, truncation
-from claimweave.operators.staging import stage
+from claimweave.operators.staging import stage, stage_root
 from claimweave.session import read_table
 
 # --- 1: free-typed values to the canonical list
@@ -49,35 +51,76 @@ PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 LANES = ("verde", "ambar", "rojo")
 
 
-def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(lane, measure, day, value): measured values of distinct records, the first received of each."""
+MEASURES = ("estimated_eur", "processing_time_ms")
+#: Months are counted from the year 0; this one says that a record has no date.
+_UNDATED = 12 * 10000
+#: Above the largest packed number, so that time comes first in their common order.
+_TIME_UNIT = 2**62
+
+
+def _packed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(packed) of every distinct record: its lane and month as a group, and the leaves of its two measures.
+
+    The first received row of a record counts, of rows received together the
+    smallest.  Both are one number, so that the smallest is found by hash
+    aggregation and the row that crosses the network is three fixed fields.
+    """
     lane = F.translate(F.lower(F.trim("lane")), "á", "a")
-    code = F.when(lane == LANES[0], 0).when(lane == LANES[1], 1).when(lane == LANES[2], 2).cast("tinyint")
-    rows = read_table(spark, sf_dir, "claim_metrics").where("record_id is not null").select(
-        "record_id", nulls_last("received_at").alias("received_at"), code.alias("lane"), F.unix_date(F.to_date("evaluated_at")).alias("day"), quantiles.measured(F.col("estimated_eur")).alias("eur"), quantiles.measured(F.col("processing_time_ms")).alias("ms")
-    )
-    first = [F.min_by(c, "received_at").alias(c) for c in ("lane", "day", "eur", "ms")]
-    one = rows.groupBy("record_id").agg(*first).where("lane is not null")
-    return one.select("lane", "day", F.explode(F.array(F.struct(F.lit(0).cast("tinyint").alias("measure"), F.col("eur").alias("value")), F.struct(F.lit(1).cast("tinyint").alias("measure"), F.col("ms").alias("value")))).alias("m")).select("lane", "day", "m.measure", "m.value").where("value is not null")
+    code = F.when(lane == LANES[0], 1).when(lane == LANES[1], 2).when(lane == LANES[2], 3).otherwise(0)
+    month = F.coalesce(F.year("evaluated_at") * 12 + F.month("evaluated_at") - 1, F.lit(_UNDATED))
+    packed = quantiles.pack(code + F.greatest(F.lit(0), F.least(month, F.lit(_UNDATED))) * 4, [quantiles.measured(F.col(m)) for m in MEASURES])
+    rows = read_table(spark, sf_dir, "claim_metrics").where("record_id is not null").select("record_id", (F.unix_micros(nulls_last("received_at")).cast("decimal(18,0)") * F.lit(_TIME_UNIT).cast("decimal(19,0)") + packed.cast("decimal(19,0)")).cast("decimal(38,0)").alias("order"))
+    first = rows.groupBy("record_id").agg(F.min("order").alias("order"))
+    # the time may lie before 1970, so the remainder is taken as a positive one
+    return first.select(F.pmod("order", F.lit(_TIME_UNIT).cast("decimal(38,0)")).cast("bigint").alias("packed")).where(F.shiftrightunsigned("packed", 2 * (quantiles.BITS + 1)) % 4 > 0)
+
+
+def _month_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lane, measure, month, level, node, n) as numbers: digests of each task merged by node, and compressed once more."""
+    local = quantiles.local_digests(_packed_records(spark, sf_dir), len(MEASURES), quantiles.k_for(RANK_ERROR))
+    keyed = local.select((F.col("grp") % 4 - 1).cast("tinyint").alias("lane"), F.col("field").alias("measure"), F.floor(F.col("grp") / 4).cast("int").alias("month"), "level", "node", "n")
+    return quantiles.compact(quantiles.merge_digests(keyed, ["lane", "measure", "month"]), ["lane", "measure", "month"], quantiles.k_for(RANK_ERROR))
+
+
+def _named(df: DataFrame, *columns: str) -> DataFrame:
+    """Numbers of lane, measure and month as what they stand for; an undated month is null."""
+    lane = F.element_at(F.array(*[F.lit(x) for x in LANES]), F.col("lane") + 1)
+    measure = F.element_at(F.array(*[F.lit(x) for x in MEASURES]), F.col("measure") + 1)
+    month = F.when(F.col("month") < _UNDATED, F.make_date(F.floor(F.col("month") / 12).cast("int"), (F.col("month") % 12 + 1).cast("int"), F.lit(1)))
+    return df.select(lane.alias("lane"), measure.alias("measure"), month.alias("month"), *columns)
+
+
+def p2_lane_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest of each lane, measure and month (null: undated): what is kept, and merges with the digests of other loads by adding equal nodes."""
+    return _named(_month_digests(spark, sf_dir), "level", "node", "n")
 
 
 def p2_lane_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Percentiles per lane and measure of each day, and of all days from the merged digests of the days (day is null)."""
+    """Percentiles per lane and measure, read off the digests: of each month (period ``month``, or ``undated``) and of all of them merged (``all``)."""
     k = quantiles.k_for(RANK_ERROR)
-    daily = stage(quantiles.digests(_measures(spark, sf_dir), ["lane", "measure", "day"], "value", k), "digests").df
-    by_day = quantiles.digest_percentiles(daily, ["lane", "measure", "day"], PERCENTILES, k)
-    merged = quantiles.merge_digests(daily, ["lane", "measure"])
-    overall = quantiles.digest_percentiles(merged, ["lane", "measure"], PERCENTILES, k).withColumn("day", F.lit(None).cast("int"))
-    name = F.element_at(F.array(*[F.lit(x) for x in LANES]), F.col("lane") + 1)
-    measure = F.when(F.col("measure") == 0, "estimated_eur").otherwise("processing_time_ms")
-    return by_day.unionByName(overall).select(name.alias("lane"), measure.alias("measure"), F.date_from_unix_date("day").alias("day"), "percentile", "value", "value_low", "value_high", "n", "rank_error")
+    monthly = stage(_month_digests(spark, sf_dir), "digests").df
+    by_month = quantiles.digest_percentiles(monthly, ["lane", "measure", "month"], PERCENTILES, k).withColumn("period", F.when(F.col("month") < _UNDATED, "month").otherwise("undated"))
+    merged = quantiles.merge_digests(monthly, ["lane", "measure"])
+    overall = quantiles.digest_percentiles(merged, ["lane", "measure"], PERCENTILES, k).withColumns({"month": F.lit(_UNDATED), "period": F.lit("all")})
+    return _named(by_month.unionByName(overall), "period", "percentile", "value", "value_low", "value_high", "n", "rank_error")
+
+
+def p2_lane_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measured values of each lane, measure and month: the counts of a digest's nodes add up to them exactly, at any compression."""
+    return p2_lane_digests(spark, sf_dir).groupBy("lane", "measure", "month").agg(F.sum("n").cast("bigint").alias("n"))
+
+
+def p2_month_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of the months whose digests are exact but for the width of a leaf (fewer values than the compression factor): the lower end of the leaf."""
+    return p2_lane_percentiles(spark, sf_dir).where("period = 'month' and rank_error = 0").select("lane", "measure", "month", "percentile", "value_low", "n")
 
 
 # --- 4: splits that keep a vehicle's images together
 
 
-def _image_links(images: DataFrame) -> DataFrame:
-    return splits.link_rows(images.select("id", vehicle_number(F.col("file_name")).alias("vehicle")), "id", "vehicle")
+def _image_links(images: DataFrame, *more: str) -> DataFrame:
+    """Images linked by the vehicle in their file name, and by further columns."""
+    return splits.link_rows(images.select("id", vehicle_number(F.col("file_name")).alias("vehicle"), *more), "id", "vehicle", *more)
 
 
 def _ratios(spark: SparkSession, sf_dir: str) -> dict[str, float]:
@@ -90,31 +133,53 @@ def _ratios(spark: SparkSession, sf_dir: str) -> dict[str, float]:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of vehicles that have several; a component is named by its smallest image id."""
     images = read_table(spark, sf_dir, "coco_images").select("id", "file_name")
-    assigned, _ = splits.assign_batch(_image_links(images), splits.empty_state(spark), _ratios(spark, sf_dir))
-    sizes = assigned.where(~F.col("component").startswith("record:")).groupBy("component").agg(F.min("record_id").alias("group_id"), F.max("record_id").alias("last"))
-    shared = sizes.where("group_id <> last").select("component", "group_id")
-    return assigned.join(shared, "component").select(F.col("record_id").alias("image_id"), "group_id")
+    return splits.group_batch(_image_links(images)).select(F.col("record_id").alias("image_id"), F.col("component").alias("group_id"))
 
 
-def _split_in_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Images ingested up to the middle of the builds first, then the rest on top of the persisted components."""
-    images = read_table(spark, sf_dir, "coco_images")
-    middle = images.agg(F.percentile_approx("build_id", 0.5)).scalar()
-    early = F.coalesce(F.col("build_id") <= middle, F.lit(True))
+def p4_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images that hang together by vehicle or by content, directly or through others: what must not be split."""
+    images = read_table(spark, sf_dir, "coco_images").select("id", "file_name", "image_hash")
+    return splits.group_batch(_image_links(images, "image_hash")).select(F.col("record_id").alias("image_id"), F.col("component").alias("group_id"))
+
+
+def _split_in_two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Rows ingested up to the middle of the time first, then all later ones on top of the saved state; some images come back in the second load."""
+    images = read_table(spark, sf_dir, "coco_images").select("id", "file_name", "image_hash", "ingested_at")
+    middle = images.agg(F.percentile_approx(F.unix_micros("ingested_at"), 0.5)).scalar()
+    early = F.coalesce(F.unix_micros("ingested_at") <= middle, F.lit(True))
     ratios = _ratios(spark, sf_dir)
-    first, state = splits.assign_batch(_image_links(images.where(early)), splits.empty_state(spark), ratios)
-    rest = _image_links(images.where(~early)).join(first.select("record_id"), "record_id", "left_anti")
-    second, _ = splits.assign_batch(rest, state, ratios)
-    return first.unionByName(second)
+    first, state = splits.assign_batch(_image_links(images.where(early), "image_hash"), None, ratios)
+    saved = f"{stage_root(spark)}/split-state-{uuid.uuid4().hex}"
+    state.save(saved)
+    second, _ = splits.assign_batch(_image_links(images.where(~early), "image_hash"), splits.SplitState.load(spark, saved), ratios)
+    return first, second
+
+
+def _assigned_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every image once, as the last load that had it left it."""
+    first, second = _split_in_two_loads(spark, sf_dir)
+    return first.join(second.select("record_id"), "record_id", "left_anti").unionByName(second)
 
 
 def p4_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split_in_two_loads(spark, sf_dir).select(F.col("record_id").alias("image_id"), "component", "split")
+    return _assigned_images(spark, sf_dir).select(F.col("record_id").alias("image_id"), "component", "split")
 
 
 def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splits.split_report(_split_in_two_loads(spark, sf_dir), _ratios(spark, sf_dir))
+    return splits.split_report(_assigned_images(spark, sf_dir), _ratios(spark, sf_dir))
+
+
+def p4_split_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the splits must hold: every image placed, no component in two splits, no image moved when it came back, shares within a hundredth."""
+    first, second = _split_in_two_loads(spark, sf_dir)
+    moved = first.join(second.select("record_id", F.col("split").alias("later")), "record_id").where("split <> later")
+    every = stage(first.join(second.select("record_id"), "record_id", "left_anti").unionByName(second), "every").df
+    astray = every.groupBy("component").agg(F.countDistinct("split").alias("n")).where("n > 1")
+    off = splits.split_report(every.where(F.col("split") != splits.QUARANTINE), _ratios(spark, sf_dir)).where(F.abs(F.col("share") - F.col("share_asked")) > 0.01)
+    count = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return every.agg(F.countDistinct("record_id").alias("n_images")).select("n_images", count(astray).alias("n_astray"), count(moved).alias("n_moved"), count(off).alias("n_off_share"))
 
 
 # --- 6: images of evaluation splits that are in train as well
@@ -206,6 +271,10 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- 9: sources mixed to target shares
 
 
+#: Share a source of the report may be off by.
+SHARE_ERROR = 0.02
+
+
 def _mixture(spark: SparkSession, sf_dir: str) -> mixing.Mixture:
     return mixing.mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "source_weights"))
 
@@ -218,6 +287,12 @@ def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixture(spark, sf_dir).report
 
 
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each listed source came within ``SHARE_ERROR`` of its share among the sources that have documents, and within its cap."""
+    report = p9_report(spark, sf_dir)
+    return report.select("source", "target_share", "max_repeats", (F.abs("share_error") < SHARE_ERROR).alias("share_reached"), (F.col("most_repeats") <= F.col("max_repeats")).alias("cap_held"), (F.col("tokens_available") > 0).alias("has_documents"))
+
+
 # --- 10: texts cut before their end
 
 
@@ -241,10 +316,15 @@ def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_misses": p1_misses,
+    "p2_lane_digests": p2_lane_digests,
     "p2_lane_percentiles": p2_lane_percentiles,
+    "p2_lane_counts": p2_lane_counts,
+    "p2_month_percentiles": p2_month_percentiles,
     "p4_found": p4_found,
     "p4_split": p4_split,
     "p4_report": p4_report,
+    "p4_components": p4_components,
+    "p4_split_check": p4_split_check,
     "p6_found": p6_found,
     "p6_report": p6_report,
     "p6_audit": p6_audit,
@@ -254,6 +334,7 @@ QUERIES = {
     "p8_report": p8_report,
     "p9_mixture": p9_mixture,
     "p9_report": p9_report,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_report": p10_report,
 }
@@ -261,11 +342,43 @@ QUERIES = {
 _VEHICLE = r"""regexp_extract(regexp_extract(lower(file_name), '([^/]*)$', 1), '(?:^|[^\p{L}])(?:automovil|automóvil|vehiculo|vehículo|vehicle|veiculo|veículo|viatura|coches|coche|carro|cars|auto|car|veh)[^\p{L}\p{N}]*0*([0-9]+)', 1)"""
 _SHOT = r"""regexp_extract(regexp_extract(lower(file_name), '([^/]*)$', 1), '(?:^|[^\p{L}])(?:automovil|automóvil|vehiculo|vehículo|vehicle|veiculo|veículo|viatura|coches|coche|carro|cars|auto|car|veh)[^\p{L}\p{N}]*[0-9]+[^\p{L}\p{N}]+(?:(?:foto|photo|fotografia|img|image|imagen|imagem|pic|shot|toma|vista|view)[^\p{L}\p{N}]*)?0*([0-9]+)', 1)"""
 
+_MEASURED = """
+with firsts as (
+  select record_id, replace(lower(trim(lane)), 'á', 'a') as lane, cast(date_trunc('month', evaluated_at) as date) as month, estimated_eur, processing_time_ms
+  from (select *, row_number() over (partition by record_id order by received_at nulls last) as rn from claim_metrics where record_id is not null) t where rn = 1
+),
+measured as (
+  select lane, 'estimated_eur' as measure, month, estimated_eur as v from firsts where isfinite(estimated_eur) and estimated_eur >= 0
+  union all select lane, 'processing_time_ms', month, cast(processing_time_ms as double) from firsts where processing_time_ms >= 0
+)"""
+
 ORACLES = {
+    "p9_shares": "select source, target_share, greatest(1, coalesce(max_repeats, 1)) as max_repeats, true as share_reached, true as cap_held, source in (select source from documents where text <> '') as has_documents from source_weights",
+    "p2_lane_counts": _MEASURED + "select lane, measure, month, count(*) as n from measured where lane in ('verde', 'ambar', 'rojo') group by all",
+    "p2_month_percentiles": _MEASURED + f""",
+ranked as (
+  select lane, measure, month, v, row_number() over (partition by lane, measure, month order by v) as r, count(*) over (partition by lane, measure, month) as n
+  from measured where lane in ('verde', 'ambar', 'rojo') and month is not null
+),
+asked as (select unnest([{", ".join(f"{p}e0" for p in PERCENTILES)}]) as percentile),
+met as (select lane, measure, month, percentile, v, n from ranked, asked where n < {quantiles.k_for(RANK_ERROR)} and r = greatest(1, ceil(percentile * n))),
+guess as (select *, floor(log2(case when v > 0 then v end)) as g from met),
+exact as (select *, case when pow(2e0, g) > v then g - 1 when pow(2e0, g + 1) <= v then g + 1 else g end as e from guess)
+select lane, measure, month, percentile, n, coalesce(pow(2e0, e) * (1 + floor((v / pow(2e0, e) - 1) * 512) / 512), 0e0) as value_low from exact""",
     "p4_found": f"""
 with named as (select distinct id, {_VEHICLE} as vehicle from coco_images where id is not null),
 sized as (select vehicle, min(id) as group_id, max(id) as last_id from named where vehicle <> '' group by vehicle)
 select n.id as image_id, s.group_id from named n join sized s on n.vehicle = s.vehicle where s.group_id <> s.last_id""",
+    "p4_split_check": "select count(distinct id) as n_images, 0 as n_astray, 0 as n_moved, 0 as n_off_share from coco_images where id is not null",
+    "p4_components": f"""
+with recursive named as (select distinct id, image_hash, {_VEHICLE} as vehicle from coco_images where id is not null),
+links as (
+  select id, min(id) over (partition by vehicle) as other from named where vehicle <> ''
+  union select id, min(id) over (partition by image_hash) from named where image_hash <> ''
+),
+edges as (select id as a, other as b from links where id <> other union select other, id from links where id <> other),
+reach as (select a as id, a as seen from edges union select r.id, e.b from reach r join edges e on r.seen = e.a)
+select id as image_id, min(seen) as group_id from reach group by id""",
     "p7_found": """
 with recursive edges as (
   select distinct id_a as a, id_b as b from match_pairs where id_a is not null and id_b is not null and id_a <> id_b and lower(trim(verdict)) = 'same'

@@ -33,6 +33,8 @@ BITS = 11 + MANTISSA
 #: Bits kept for a node's number when digests are handled side by side.
 _ROOM = BITS + 1
 _SHIFT = 52 - MANTISSA
+#: Nodes that a task holds of its local digests before it hands them over.
+_ROOMY = 4_000_000
 
 
 def measured(value: Column) -> Column:
@@ -100,22 +102,77 @@ def k_for(rank_error: float) -> int:
     return int(np.ceil(BITS / rank_error))
 
 
+def local_digests(packed: DataFrame, fields: int, k: int) -> DataFrame:
+    """(grp, field, level, node, n): a compressed digest of every group within each task, before anything is shuffled.
+
+    ``packed`` has one column: ``pack`` of a group number and one leaf per
+    field.  A task keeps counts of distinct leaves, not rows, and hands over what
+    it has when that grows past ``_ROOMY`` nodes; digests merge, so handing over
+    twice changes no bound.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [(np.zeros(0, "int64"), np.zeros(0, "int64"))]
+        size = 0
+
+        def frame() -> pd.DataFrame:
+            codes, inverse = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+            n = np.bincount(inverse, weights=np.concatenate([m for _, m in held]), minlength=len(codes)).astype("int64")
+            where, leaf = codes >> BITS, codes & ((1 << BITS) - 1)
+            firsts = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else np.zeros(0, "int64")
+            group = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, len(where))))
+            limit = np.add.reduceat(n, firsts) // k if len(firsts) else n
+            g, level, node, counts = compress_groups(group, np.zeros(len(leaf), "int64"), leaf, n, limit)
+            of = where[firsts][g]
+            return pd.DataFrame({"grp": of // fields, "field": (of % fields).astype("int8"), "level": level.astype("int32"), "node": node, "n": counts})
+
+        for batch in batches:
+            row = batch.iloc[:, 0].to_numpy("int64")
+            group = row >> (fields * (BITS + 1))
+            for f in range(fields):
+                slot = (row >> (f * (BITS + 1))) & ((1 << (BITS + 1)) - 1)
+                has = slot > 0
+                codes, n = np.unique(((group[has] * fields + f) << BITS) | (slot[has] - 1), return_counts=True)
+                held.append((codes, n))
+                size += len(codes)
+            if size > _ROOMY:
+                yield frame()
+                held, size = [], 0
+        if held:
+            yield frame()
+
+    return packed.mapInPandas(run, "grp bigint, field tinyint, level int, node bigint, n bigint")
+
+
+def pack(group: Column, values: list[Column]) -> Column:
+    """One bigint of a small group number (below 2**(63 - fields * 21)) and the leaf of each value, 0 for a null."""
+    out = group.cast("bigint")
+    for value in reversed(values):
+        out = F.shiftleft(out, BITS + 1).bitwiseOR(F.coalesce(_leaf_column(value) + 1, F.lit(0)).cast("bigint"))
+    return out
+
+
 def digests(df: DataFrame, keys: list[str], value: str, k: int) -> DataFrame:
     """One compressed digest per key: (*keys, level, node, n).
 
     Leaf counts are aggregated with map-side combine, so the rows of a hot key
     are never gathered; what a key gathers is bounded by the universe.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, _leaf_column(F.col(value)).alias("leaf")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, _leaf_column(F.col(value)).alias("node")).agg(F.count(F.lit(1)).alias("n"))
+    return compact(counts.withColumn("level", F.lit(0)), keys, k)
+
+
+def compact(parts: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """(*keys, level, node, n) compressed to the bound: of each key's nodes those that together hold at most n // k go to their parent."""
 
     def run(pdf: pd.DataFrame, group: np.ndarray, firsts: np.ndarray) -> pd.DataFrame:
         n = pdf["n"].to_numpy("int64")
         limit = np.add.reduceat(n, firsts) // k
-        g, level, node, counts = compress_groups(group, np.zeros(len(pdf), "int64"), pdf["leaf"].to_numpy("int64"), n, limit)
+        g, level, node, counts = compress_groups(group, pdf["level"].to_numpy("int64"), pdf["node"].to_numpy("int64"), n, limit)
         out = pdf[keys].iloc[firsts[g]].reset_index(drop=True)
         return out.assign(level=level.astype("int32"), node=node, n=counts)
 
-    return _by_groups(counts, keys, ["leaf"], run, "level int, node bigint, n bigint")
+    return _by_groups(parts.select(*keys, "level", "node", "n"), keys, ["level", "node"], run, "level int, node bigint, n bigint")
 
 
 def _by_groups(df: DataFrame, keys: list[str], order: list[str], run, columns: str) -> DataFrame:

@@ -115,6 +115,24 @@ def test_rank_error_over_days_and_merges(spark):
     assert again["value"] == next(r["value"] for r in got if r["percentile"] == 0.5)
 
 
+def test_local_digests_merge_to_those_of_all_rows(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    data = [(int(g), float(x) if x < 400 else None, float(y)) for g, x, y in zip(rng.integers(0, 3, 6000), rng.lognormal(3, 2, 6000), rng.lognormal(1, 3, 6000), strict=True)]
+    df = spark.createDataFrame(data, "g int, x double, y double").repartition(5)
+    packed = df.select(quantiles.pack(F.col("g"), [F.col("x"), F.col("y")]).alias("packed"))
+    for roomy in (quantiles._ROOMY, 100):
+        monkeypatch.setattr(quantiles, "_ROOMY", roomy)
+        merged = quantiles.compact(quantiles.merge_digests(quantiles.local_digests(packed, 2, 50), ["grp", "field"]), ["grp", "field"], 50)
+        assert merged.agg(F.sum("n")).first()[0] == sum((x is not None) + 1 for _, x, _ in data)
+        for r in quantiles.digest_percentiles(merged, ["grp", "field"], (0.1, 0.5, 0.9), 50).collect():
+            values = np.array([row[1 + r["field"]] for row in data if row[0] == r["grp"] and row[1 + r["field"]] is not None])
+            low, _ = ranks_of(values, r["value_low"])
+            _, high = ranks_of(values, r["value_high"])
+            assert r["n"] == len(values) and low - r["rank_error"] <= math.ceil(r["percentile"] * len(values)) <= high + r["rank_error"]
+    # compression works where a group has more values than the factor
+    assert merged.count() < 2 * 3 * 50 * 3
+
+
 def test_digest_size_is_bounded():
     rng = np.random.default_rng(2)
     leaves, counts = np.unique(quantiles.leaf_of(rng.lognormal(3, 3, 200_000)), return_counts=True)
@@ -169,7 +187,7 @@ def linked(spark, data):
 
 def test_related_records_share_a_split(spark):
     data = [(i, f"a{i % 150}", None, "x") for i in range(600)] + [(600 + i, f"a{i}", f"s{i // 2}", "x") for i in range(0, 20)] + [(700, None, "", "x"), (None, "a1", None, "x"), (5, "a5", None, "x")]
-    assigned, state = splits.assign_batch(linked(spark, data), splits.empty_state(spark), RATIOS)
+    assigned, state = splits.assign_batch(linked(spark, data), None, RATIOS)
     got = {r["record_id"]: (r["component"], r["split"]) for r in assigned.collect()}
     assert len(got) == 621
     by_author: dict = {}
@@ -180,11 +198,11 @@ def test_related_records_share_a_split(spark):
     assert got[0] == got[1] and got[2] == got[3]  # linked through a source
     share = sum(s == "train" for _, s in got.values()) / len(got)
     assert abs(share - 0.7) < 0.02
-    assert state.components.df.agg(F.sum("n_records")).first()[0] == 621
+    assert state.components.agg(F.sum("n_records")).first()[0] == 621
 
 
 def test_batches_keep_splits_and_quarantine_conflicts(spark):
-    first, state = splits.assign_batch(linked(spark, [(i, f"a{i}", None, "") for i in range(200)]), splits.empty_state(spark), RATIOS)
+    first, state = splits.assign_batch(linked(spark, [(i, f"a{i}", None, "") for i in range(200)]), None, RATIOS)
     got = {r["record_id"]: r["split"] for r in first.collect()}
     by_split = {s: sorted(i for i in got if got[i] == s) for s in RATIOS}
     t, t2, v = by_split["train"][0], by_split["train"][1], by_split["val"][0]
@@ -201,15 +219,44 @@ def test_batches_keep_splits_and_quarantine_conflicts(spark):
 
 def test_one_entity_with_a_third_of_all(spark):
     data = [(i, "hot" if i % 3 == 0 else f"a{i}", None, "") for i in range(900)]
-    assigned, _ = splits.assign_batch(linked(spark, data), splits.empty_state(spark), RATIOS)
+    assigned, _ = splits.assign_batch(linked(spark, data), None, RATIOS)
     assert assigned.where("record_id % 3 = 0").select("split").distinct().count() == 1
     report = {r["split"]: r["share"] for r in splits.split_report(assigned, RATIOS).collect()}
     assert abs(report["train"] - 0.7) < 0.02 and abs(report["val"] - 0.2) < 0.02
 
 
+def test_records_that_come_back(spark, tmp_path):
+    first, state = splits.assign_batch(linked(spark, [(i, f"a{i}", None, "") for i in range(200)]), None, RATIOS)
+    state.save(str(tmp_path / "state"))
+    state = splits.SplitState.load(spark, str(tmp_path / "state"))
+    got = {r["record_id"]: r["split"] for r in first.collect()}
+    by_split = {s: sorted(i for i in got if got[i] == s) for s in RATIOS}
+    t, t2, v = by_split["train"][0], by_split["train"][1], by_split["val"][0]
+    # one comes back as it was, one with an entity of another split, one links two components of its own split
+    second, later = splits.assign_batch(linked(spark, [(t, f"a{v}", None, ""), (v, f"a{v}", None, ""), (by_split["test"][0], None, None, ""), (900, f"a{t}", None, ""), (by_split["train"][3], f"a{t2}", "new", ""), (901, None, "new", "")]), state, RATIOS)
+    out = {r["record_id"]: (r["component"], r["split"]) for r in second.collect()}
+    assert all(out[i][1] == got[i] for i in out if i < 200)
+    assert out[900][1] == splits.QUARANTINE
+    assert out[901] == out[by_split["train"][3]] and out[901][1] == "train"
+    assert later.components.agg(F.sum("n_records")).first()[0] == 202 and later.records.count() == 202
+    third, last = splits.assign_batch(linked(spark, [(902, f"a{t2}", None, ""), (903, "", "new", ""), (904, f"a{v}", None, "")]), later, RATIOS)
+    out = {r["record_id"]: r for r in third.collect()}
+    # the merged component is found by either of its entities
+    assert out[902]["component"] == out[903]["component"] and out[904]["split"] == "val"
+    alive = last.components.where("component = root")
+    assert last.components.count() == alive.count() + 1
+
+
+def test_entities_in_chains_are_one_component(spark):
+    data = [(i, f"p{i // 2}", f"q{(i + 1) // 2}", "") for i in range(300)]
+    assigned, _ = splits.assign_batch(linked(spark, data), None, RATIOS)
+    assert assigned.select("component", "split").distinct().count() == 1
+    assert rows(splits.group_batch(linked(spark, data))) == {(i, 0) for i in range(300)}
+
+
 def test_empty_batch(spark):
-    assigned, state = splits.assign_batch(linked(spark, []), splits.empty_state(spark), RATIOS)
-    assert assigned.count() == 0 and state.entities.df.count() == 0
+    assigned, state = splits.assign_batch(linked(spark, []), None, RATIOS)
+    assert assigned.count() == 0 and state.entities.count() == 0
 
 
 # --- 6: overlap
@@ -284,8 +331,9 @@ def test_claims_and_records_without_a_time_are_kept(spark, tmp_path):
     assert rows(plans.p1_found(spark, str(tmp_path))) == {("a", 6), ("d", 0), ("e", 0)}
     misses = {(r["marca"], r["modelo"]) for r in plans.p1_misses(spark, str(tmp_path)).collect()}
     assert misses == {("", ""), ("Selmihi", "Aa")}
-    records = spark.createDataFrame([(1, "Verde ", 10.0, 5, None), (1, "verde", 99.0, 5, "2025-01-01"), (2, "ámbar", float("nan"), None, None), (3, None, 1.0, 1, None), (None, "rojo", 1.0, 1, None)], "record_id bigint, lane string, estimated_eur double, processing_time_ms bigint, at string")
+    records = spark.createDataFrame([(1, "Verde ", 10.0, 5, None), (1, "verde", 99.0, 5, "2025-01-01"), (2, "ámbar", float("nan"), None, None), (3, None, 1.0, 1, None), (None, "rojo", 1.0, 1, None), (4, "verde", 5.0, -3, "1960-01-01"), (4, "verde", 7.0, 3, "1961-01-01")], "record_id bigint, lane string, estimated_eur double, processing_time_ms bigint, at string")
     records.selectExpr("*", "cast(at as timestamp) as received_at", "timestamp'2024-05-05 10:00:00' as evaluated_at").write.parquet(str(tmp_path / "claim_metrics.parquet"))
-    got = plans.p2_lane_percentiles(spark, str(tmp_path)).where("percentile = 0.5 and day is null").collect()
-    assert {(r["lane"], r["measure"], r["n"]) for r in got} == {("verde", "estimated_eur", 1), ("verde", "processing_time_ms", 1)}
-    assert next(r for r in got if r["measure"] == "estimated_eur")["value_low"] <= 99.0 <= next(r for r in got if r["measure"] == "estimated_eur")["value_high"]
+    got = plans.p2_lane_percentiles(spark, str(tmp_path)).where("percentile = 0.5 and period = 'all'").collect()
+    assert {(r["lane"], r["measure"], r["n"]) for r in got} == {("verde", "estimated_eur", 2), ("verde", "processing_time_ms", 1)}
+    most = plans.p2_lane_percentiles(spark, str(tmp_path)).where("percentile = 0.99 and measure = 'estimated_eur'").collect()
+    assert all(r["value_low"] <= 99.0 <= r["value_high"] for r in most) and {(r["period"], r["month"] is None) for r in most} == {("all", True), ("month", False)}

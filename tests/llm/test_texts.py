@@ -159,6 +159,19 @@ def test_caps_bind_when_the_mix_is_large(spark, corpus):
         assert r["tokens_mixed"] == r["tokens_available"] * (2 if r["source"] == "small" else 1)
 
 
+def test_long_documents_do_not_shift_the_shares(spark):
+    rng = random.Random(3)
+    data = [(i, "long", " ".join(rng.choices(WORDS, k=4000))) for i in range(60)] + [(1000 + i, "short", " ".join(rng.choices(WORDS, k=200))) for i in range(1200)]
+    df = spark.createDataFrame(data, "doc_id bigint, source string, text string")
+    weights = spark.createDataFrame([("long", 0.5, 2), ("short", 0.5, 2)], "source string, target_share double, max_repeats int")
+    for size in (200_000, 500_000):
+        report = {r["source"]: r for r in mixing.mix(df, weights, total_tokens=size).report.collect()}
+        assert all(abs(r["share_error"]) < 0.02 and r["most_repeats"] <= 2 for r in report.values())
+        assert abs(sum(r["tokens_mixed"] for r in report.values()) / size - 1) < 0.03
+    # within its tokens no document of either source is repeated
+    assert mixing.mix(df, weights, total_tokens=200_000).documents.agg(F.max("repeats")).first()[0] == 1
+
+
 def test_nothing_to_mix(spark, corpus):
     weights = spark.createDataFrame([("big", 1.0, 1)], "source string, target_share double, max_repeats int")
     m = mixing.mix(corpus.limit(0), weights)

@@ -229,59 +229,89 @@ def test_a_longer_copy_shows_the_cut():
     assert truncation.cut_by_copy(body, full) is True  # inside a sentence
     assert truncation.cut_by_copy(f"{body} catorce", full) is False
     assert truncation.cut_by_copy("otra cosa muy distinta de todo lo que hay aquí escrito", full) is None
-    assert truncation.cut_by_copy(" ".join(full.split()[:40]), full) is None  # too little alike
+    assert truncation.cut_by_copy(" ".join(full.split()[:40]), full) is True  # a third of it is enough
+    words = full.split()
+    assert truncation.cut_by_copy(" ".join([*words[:12], "sin", *words[12:40]]), full) is True  # a word added
+    assert truncation.cut_by_copy(" ".join([*words[:30], "otra", *words[31:40]]), full) is True  # a word changed
+    assert truncation.cut_by_copy(" ".join([*words[20:40], *words[:20]]), full) is None  # ends elsewhere
     assert truncation.cut_by_copy(full, full) is None
 
 
+def invented(seed, n=4000):
+    rng = random.Random(seed)
+    return rng, ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(n)]
+
+
+def copies(spark, data):
+    df = spark.createDataFrame([(k, truncation._SEP.join(truncation.written_tokens(t))) for k, t in data], "key bigint, tokens string")
+    return {r["key"]: r["cut"] for r in truncation.copy_verdicts(df).collect()}
+
+
 @pytest.mark.parametrize("block", [24, 1])
-def test_near_copies_are_found_in_small_and_crowded_bands(spark, monkeypatch, block):
+def test_near_copies_at_any_length_kept(spark, monkeypatch, block):
     monkeypatch.setattr(truncation, "BLOCK", block)
-    rng = random.Random(1)
-    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(900)]
-    full = [" ".join(rng.choices(vocabulary, k=80)) + "." for _ in range(12)]
-    data = [(i, t) for i, t in enumerate(full)] + [(100 + i, t[: int(len(t) * 0.93)].rsplit(" ", 1)[0]) for i, t in enumerate(full)]
-    df = spark.createDataFrame(data, "key bigint, text string")
-    got = {r["key"]: r["cut"] for r in truncation.copy_verdicts(df).collect()}
-    assert {k for k, v in got.items() if v} == {100 + i for i in range(12)}
-
-
-def test_crowded_near_copies_that_differ_early(spark):
-    rng = random.Random(5)
-    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(4000)]
-    shared = rng.choices(vocabulary, k=90)
-    # one template sentence under all texts, so that the bands it wins hold all of them
-    full = [f"Inicio {' '.join(shared)} {' '.join(rng.choices(vocabulary, k=24))} {word} final" for word in vocabulary[:60]]
-    cut = [f"Otro{t[: int(len(t) * 0.94)].rsplit(' ', 1)[0][6:]}" for t in full]
-    longest = f"{' '.join(shared)} {' '.join(rng.choices(vocabulary, k=300))}"
-    df = spark.createDataFrame([*enumerate(full), *((100 + i, t) for i, t in enumerate(cut)), (900, longest)], "key bigint, text string")
-    sizes = df.mapInPandas(truncation._bands, truncation._BANDS).groupBy("band", "bucket").count()
-    assert sizes.agg(F.max("count")).first()[0] > truncation.BLOCK
-    crowded = {tuple(r) for r in truncation._crowded_pairs(df).collect()}
-    parts = {r["key"]: truncation._parts(r["text"]) for r in df.collect()}
-    alike = {(a, b) for a in parts for b in parts if a != b and truncation._shown(parts[a], parts[b]) is not None}
-    assert {(100 + i, i) for i in range(60)} <= alike <= crowded
-    assert len(crowded) < 400
+    rng, vocabulary = invented(1)
+    full = [" ".join(rng.choices(vocabulary, k=rng.randint(60, 240))) + "." for _ in range(60)]
+    cut = []
+    for share in (0.9, 0.7, 0.5):
+        for t in full:
+            words = t[: int(len(t) * share)].split()
+            for k in rng.sample(range(len(words) - 1), len(words) // 40):
+                words[k] = rng.choice(vocabulary)
+            cut.append(" ".join(words))
+    got = copies(spark, [*enumerate(full), *((1000 + i, t) for i, t in enumerate(cut))])
+    assert not any(v for k, v in got.items() if k < 1000)
+    for i in range(3):
+        found = sum(bool(got.get(1000 + 60 * i + k)) for k in range(60))
+        assert found >= 56, (i, found)
+
+
+def test_crowded_beginnings(spark):
+    # one template sentence under all texts; each has one whole copy, and longer relatives that only begin like it
+    rng, vocabulary = invented(5)
+    shared = rng.choices(vocabulary, k=20)
+    full = [f"{' '.join(shared)} {' '.join(rng.choices(vocabulary, k=60))} {word} final." for word in vocabulary[:40]]
+    cut = [" ".join(t.split()[:n]) for t, n in zip(full, [24, 30, 40, 60] * 10, strict=True)]
+    longest = [f"{' '.join(shared)} {' '.join(rng.choices(vocabulary, k=300))}." for _ in range(60)]
+    got = copies(spark, [*enumerate(full), *((100 + i, t) for i, t in enumerate(cut)), *((900 + i, t) for i, t in enumerate(longest))])
+    assert {k for k, v in got.items() if v} == {100 + i for i in range(40)}
+
 
 def test_crowds_of_one_text_give_every_verdict(spark, monkeypatch):
-    # versions of one text, each 0.8 alike to any other and different in an early word: all bands are crowded
-    rng = random.Random(6)
-    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(900)]
+    # versions of one text, each alike to any other and different in an early word: all bands are crowded
+    rng, vocabulary = invented(6)
     body = rng.choices(vocabulary, k=140)
     full = [" ".join([f"{vocabulary[i]}", *body, vocabulary[100 + i], "fin"]) + "." for i in range(40)]
     cut = [" ".join([f"{vocabulary[200 + i]}", *body[: 132 + i % 6]]) for i in range(40)]
-    df = spark.createDataFrame([*enumerate(full), *((100 + i, t) for i, t in enumerate(cut))], "key bigint, text string")
     monkeypatch.setattr(truncation, "SLICE", 7)
-    got = {r["key"]: r["cut"] for r in truncation.copy_verdicts(df).collect()}
+    got = copies(spark, [*enumerate(full), *((100 + i, t) for i, t in enumerate(cut))])
     assert {k for k, v in got.items() if v} == {100 + i for i in range(40)}
 
 
+def test_prefix_filter_meets_all_that_hold_enough(spark):
+    rng, vocabulary = invented(7, 300)
+    data = [(i, truncation._SEP.join(rng.choices(vocabulary, k=rng.randint(10, 40)))) for i in range(40)]
+    data += [(100 + i, truncation._SEP.join([*t.split(truncation._SEP)[: 8 + i % 9], "x"])) for i, t in data[:40]]
+    df = spark.createDataFrame(data, "key bigint, tokens string")
+    met = {tuple(r) for r in truncation._crowded_pairs(df, df.select("key")).collect()}
+    texts = {k: truncation.Written(t) for k, t in data}
+    hold = {(a, b) for a in texts for b in texts if a != b and len(texts[a].asked) and len(np.intersect1d(texts[a].asked, texts[b].shingles)) >= 0.8 * len(texts[a].asked)}
+    assert {(100 + i, i) for i in range(40)} <= hold <= met
+
+
+def test_copies_that_contradict_each_other_decide_nothing(spark):
+    rng, vocabulary = invented(9)
+    words = rng.choices(vocabulary, k=40)
+    text = " ".join(words)
+    assert copies(spark, [(1, text), (2, text + " sigue."), (3, text + ". Otro.")]).get(1) is None
+    assert copies(spark, [(1, text), (2, text + " sigue.")])[1] is True
+
+
 def test_markup_does_not_make_a_cut_text_the_longer_one(spark):
-    rng = random.Random(9)
-    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(900)]
+    rng, vocabulary = invented(9)
     words = rng.choices(vocabulary, k=80)
     cut = "".join(f"<span>{w}</span> " for w in words[:75])
-    df = spark.createDataFrame([(1, " ".join(words) + "."), (2, cut)], "key bigint, text string")
-    assert {tuple(r) for r in truncation.copy_verdicts(df).collect()} == {(2, True)}
+    assert copies(spark, [(1, " ".join(words) + "."), (2, cut)]) == {2: True}
 
 
 def test_very_long_texts(spark, texts):

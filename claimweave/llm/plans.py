@@ -54,30 +54,24 @@ LANES = ("verde", "ambar", "rojo")
 MEASURES = ("estimated_eur", "processing_time_ms")
 #: Months are counted from the year 0; this one says that a record has no date.
 _UNDATED = 12 * 10000
-#: Above the largest packed number, so that time comes first in their common order.
-_TIME_UNIT = 2**62
 
 
-def _packed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(packed) of every distinct record: its lane and month as a group, and the leaves of its two measures.
+def _first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(grp, *measures) of every distinct record in a lane: lane and month as a number, measured values or null.
 
-    The first received row of a record counts, of rows received together the
-    smallest.  Both are one number, so that the smallest is found by hash
-    aggregation and the row that crosses the network is three fixed fields.
+    The first received row of a record counts as a whole, of rows received together the smallest.
     """
     lane = F.translate(F.lower(F.trim("lane")), "á", "a")
     code = F.when(lane == LANES[0], 1).when(lane == LANES[1], 2).when(lane == LANES[2], 3).otherwise(0)
-    month = F.coalesce(F.year("evaluated_at") * 12 + F.month("evaluated_at") - 1, F.lit(_UNDATED))
-    packed = quantiles.pack(code + F.greatest(F.lit(0), F.least(month, F.lit(_UNDATED))) * 4, [quantiles.measured(F.col(m)) for m in MEASURES])
-    rows = read_table(spark, sf_dir, "claim_metrics").where("record_id is not null").select("record_id", (F.unix_micros(nulls_last("received_at")).cast("decimal(18,0)") * F.lit(_TIME_UNIT).cast("decimal(19,0)") + packed.cast("decimal(19,0)")).cast("decimal(38,0)").alias("order"))
-    first = rows.groupBy("record_id").agg(F.min("order").alias("order"))
-    # the time may lie before 1970, so the remainder is taken as a positive one
-    return first.select(F.pmod("order", F.lit(_TIME_UNIT).cast("decimal(38,0)")).cast("bigint").alias("packed")).where(F.shiftrightunsigned("packed", 2 * (quantiles.BITS + 1)) % 4 > 0)
+    month = F.coalesce(F.greatest(F.lit(0), F.least(F.year("evaluated_at") * 12 + F.month("evaluated_at") - 1, F.lit(_UNDATED - 1))), F.lit(_UNDATED))
+    row = F.struct(nulls_last("received_at").alias("at"), (code + month * 4).alias("grp"), *[quantiles.measured(F.col(m)).alias(m) for m in MEASURES])
+    first = read_table(spark, sf_dir, "claim_metrics").where("record_id is not null").groupBy("record_id").agg(F.min(row).alias("r"))
+    return first.where("r.grp % 4 > 0").select(F.col("r.grp").cast("bigint").alias("grp"), *[F.col(f"r.{m}") for m in MEASURES])
 
 
 def _month_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(lane, measure, month, level, node, n) as numbers: digests of each task merged by node, and compressed once more."""
-    local = quantiles.local_digests(_packed_records(spark, sf_dir), len(MEASURES), quantiles.k_for(RANK_ERROR))
+    local = quantiles.local_digests(_first_records(spark, sf_dir), "grp", list(MEASURES), quantiles.k_for(RANK_ERROR))
     keyed = local.select((F.col("grp") % 4 - 1).cast("tinyint").alias("lane"), F.col("field").alias("measure"), F.floor(F.col("grp") / 4).cast("int").alias("month"), "level", "node", "n")
     return quantiles.compact(quantiles.merge_digests(keyed, ["lane", "measure", "month"]), ["lane", "measure", "month"], quantiles.k_for(RANK_ERROR))
 

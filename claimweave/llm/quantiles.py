@@ -102,54 +102,46 @@ def k_for(rank_error: float) -> int:
     return int(np.ceil(BITS / rank_error))
 
 
-def local_digests(packed: DataFrame, fields: int, k: int) -> DataFrame:
-    """(grp, field, level, node, n): a compressed digest of every group within each task, before anything is shuffled.
-
-    ``packed`` has one column: ``pack`` of a group number and one leaf per
-    field.  A task keeps counts of distinct leaves, not rows, and hands over what
-    it has when that grows past ``_ROOMY`` nodes; digests merge, so handing over
-    twice changes no bound.
+def local_digests(rows: DataFrame, group: str, values: list[str], k: int) -> DataFrame:
+    """(grp, field, level, node, n): a compressed digest of every group and value column within each task, before anything is shuffled.
+
+    ``group`` is a bigint that numbers the groups, from 0 and below 2**40;
+    ``values`` are measured doubles, null where there is none.  A task keeps
+    counts of distinct leaves, not rows, and hands over what it has when that
+    grows past ``_ROOMY`` nodes; digests merge, so handing over twice changes no
+    bound.
     """
+    fields = len(values)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [(np.zeros(0, "int64"), np.zeros(0, "int64"))]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def frame() -> pd.DataFrame:
             codes, inverse = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
             n = np.bincount(inverse, weights=np.concatenate([m for _, m in held]), minlength=len(codes)).astype("int64")
             where, leaf = codes >> BITS, codes & ((1 << BITS) - 1)
-            firsts = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else np.zeros(0, "int64")
-            group = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, len(where))))
-            limit = np.add.reduceat(n, firsts) // k if len(firsts) else n
-            g, level, node, counts = compress_groups(group, np.zeros(len(leaf), "int64"), leaf, n, limit)
+            firsts = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+            numbered = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, len(where))))
+            g, level, node, counts = compress_groups(numbered, np.zeros(len(leaf), "int64"), leaf, n, np.add.reduceat(n, firsts) // k)
             of = where[firsts][g]
             return pd.DataFrame({"grp": of // fields, "field": (of % fields).astype("int8"), "level": level.astype("int32"), "node": node, "n": counts})
 
         for batch in batches:
-            row = batch.iloc[:, 0].to_numpy("int64")
-            group = row >> (fields * (BITS + 1))
-            for f in range(fields):
-                slot = (row >> (f * (BITS + 1))) & ((1 << (BITS + 1)) - 1)
-                has = slot > 0
-                codes, n = np.unique(((group[has] * fields + f) << BITS) | (slot[has] - 1), return_counts=True)
-                held.append((codes, n))
-                size += len(codes)
+            for f, name in enumerate(values):
+                v = batch[name].to_numpy("float64")
+                has = ~np.isnan(v)
+                if has.any():
+                    codes, n = np.unique(((batch[group].to_numpy("int64")[has] * fields + f) << BITS) | leaf_of(v[has]), return_counts=True)
+                    held.append((codes, n))
+                    size += len(codes)
             if size > _ROOMY:
                 yield frame()
                 held, size = [], 0
         if held:
             yield frame()
 
-    return packed.mapInPandas(run, "grp bigint, field tinyint, level int, node bigint, n bigint")
-
-
-def pack(group: Column, values: list[Column]) -> Column:
-    """One bigint of a small group number (below 2**(63 - fields * 21)) and the leaf of each value, 0 for a null."""
-    out = group.cast("bigint")
-    for value in reversed(values):
-        out = F.shiftleft(out, BITS + 1).bitwiseOR(F.coalesce(_leaf_column(value) + 1, F.lit(0)).cast("bigint"))
-    return out
+    return rows.select(group, *values).mapInPandas(run, "grp bigint, field tinyint, level int, node bigint, n bigint")
 
 
 def digests(df: DataFrame, keys: list[str], value: str, k: int) -> DataFrame:

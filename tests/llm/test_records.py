@@ -119,10 +119,10 @@ def test_local_digests_merge_to_those_of_all_rows(spark, monkeypatch):
     rng = np.random.default_rng(4)
     data = [(int(g), float(x) if x < 400 else None, float(y)) for g, x, y in zip(rng.integers(0, 3, 6000), rng.lognormal(3, 2, 6000), rng.lognormal(1, 3, 6000), strict=True)]
     df = spark.createDataFrame(data, "g int, x double, y double").repartition(5)
-    packed = df.select(quantiles.pack(F.col("g"), [F.col("x"), F.col("y")]).alias("packed"))
+    fed = df.withColumn("g", F.col("g").cast("bigint"))
     for roomy in (quantiles._ROOMY, 100):
         monkeypatch.setattr(quantiles, "_ROOMY", roomy)
-        merged = quantiles.compact(quantiles.merge_digests(quantiles.local_digests(packed, 2, 50), ["grp", "field"]), ["grp", "field"], 50)
+        merged = quantiles.compact(quantiles.merge_digests(quantiles.local_digests(fed, "g", ["x", "y"], 50), ["grp", "field"]), ["grp", "field"], 50)
         assert merged.agg(F.sum("n")).first()[0] == sum((x is not None) + 1 for _, x, _ in data)
         for r in quantiles.digest_percentiles(merged, ["grp", "field"], (0.1, 0.5, 0.9), 50).collect():
             values = np.array([row[1 + r["field"]] for row in data if row[0] == r["grp"] and row[1 + r["field"]] is not None])

@@ -22,12 +22,14 @@ def _mend(match: re.Match) -> str:
 
 def mend_encoding(text: str) -> str:
     """UTF-8 that was once read as Latin-1 or Windows-1252, read as UTF-8 again."""
-    return _BROKEN.sub(_mend, text)
+    return text if text.isascii() else _BROKEN.sub(_mend, text)
 
 
 def strip_markup(text: str) -> str:
     """Tags as blanks, character entities as their characters."""
-    return html.unescape(_TAG.sub(" ", text))
+    if "<" in text:
+        text = _TAG.sub(" ", text)
+    return html.unescape(text) if "&" in text else text
 
 
 def fold(text: str) -> str:
@@ -40,6 +42,25 @@ def spoken(text: str) -> str:
     return fold(strip_markup(mend_encoding(text)))
 
 
+class _Folded(dict):
+    """Words without accents, each folded once; emptied when it grows large."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > 500_000:
+            self.clear()
+        folded = self[word] = fold(word)
+        return folded
+
+
+_FOLDED = _Folded()
+
+
 def text_words(text: str | None) -> list[str]:
     """Lower-case words, free of accents, punctuation, markup and line breaks."""
-    return _WORD.findall(spoken(text).lower()) if text else []
+    if not text:
+        return []
+    plain = strip_markup(mend_encoding(text))
+    if plain.isascii():
+        return _WORD.findall(plain.lower())
+    # composed first, so that an accent of its own does not part a word
+    return [w if w.isascii() else _FOLDED[w] for w in _WORD.findall(unicodedata.normalize("NFKC", plain).lower())]

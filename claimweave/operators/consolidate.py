@@ -51,30 +51,57 @@ def weighted_votes(rows: DataFrame, keys: list[str], value: str, weight: Column,
     return totals.groupBy(*keys).agg(F.max_by(value, F.struct(F.col("__w"), (-F.col("__p")).alias("p"))).alias(value))
 
 
+def _voted(votes: Column, field: str) -> Column:
+    """Value of a field with the largest weight among tallies (w, p and the fields), the one seen first among equals; null where nobody votes."""
+    said = F.filter(votes, lambda v: v[field].isNotNull())
+    names = F.array_distinct(F.transform(said, lambda v: v[field]))
+
+    def tally(name: Column) -> Column:
+        mine = F.filter(said, lambda v: v[field] == name)
+        weight = F.aggregate(mine, F.lit(0).cast("bigint"), lambda acc, v: acc + v["w"])
+        return F.struct((-weight).alias("w"), F.array_min(F.transform(mine, lambda v: v["p"])).alias("p"), name.alias("name"))
+
+    return F.array_min(F.transform(names, tally)).getField("name")
+
+
 def consolidate(detections: DataFrame) -> DataFrame:
-    """One row per unique damage of a claim, numbered C1, C2, ... in order of first appearance."""
+    """One row per unique damage of a claim, numbered C1, C2, ... in order of first appearance.
+
+    Detections are first tallied per region and combination of voted values,
+    with map-side combine, so a claim of very many photos shrinks to what the
+    vocabularies allow before it is placed; then everything of a claim is done
+    where it lies.
+    """
     keyed = with_region(detections).withColumn("w", micro(F.col("confidence")))
-    ballots = keyed.select(*KEYS, "w", "pos", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), known(F.col(f)).alias("value")) for f in VOTED])).alias("b")).select(*KEYS, "w", "pos", "b.field", "b.value")
-    totals = ballots.where("value is not null").groupBy(*KEYS, "field", "value").agg(F.sum("w").alias("w"), F.min("pos").alias("p"))
-    best = F.struct(F.col("w"), (-F.col("p")).alias("p"))
-    votes = totals.groupBy(*KEYS).agg(*[F.max_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, best)).alias(f) for f in VOTED])
-    base = keyed.groupBy(*KEYS).agg(
-        half_up(F.coalesce(F.try_divide(F.sum((F.col("w") * F.col("w")).cast("decimal(38,0)")).cast("double"), F.sum("w") * F.lit(1e6)), F.lit(0.0)), 4).alias("confidence"),
+    voted = {f: known(F.col(f)).alias(f"__{f}") for f in VOTED}
+    tallies = keyed.groupBy(*KEYS, *voted.values()).agg(
+        F.sum("w").alias("w"),
+        F.sum((F.col("w") * F.col("w")).cast("decimal(38,0)")).alias("ww"),
         F.max(F.coalesce(rank_in(F.col("extension"), EXTENSIONS), F.lit(1))).alias("ext"),
         F.max(rank_in(F.col("severity"), SEVERITIES)).alias("sev"),
-        F.bool_or(F.coalesce("structural_suspicion", F.lit(False))).alias("structural_suspicion"),
-        half_up(F.max(F.coalesce("area_pct", F.lit(0.0))), 2).alias("area_pct"),
-        F.array_sort(F.collect_set(F.nullif("image_hash", F.lit("")))).alias("supporting_images"),
-        F.count(F.lit(1)).alias("n_detections"),
-        F.min("pos").alias("first_pos"),
+        F.bool_or(F.coalesce("structural_suspicion", F.lit(False))).alias("structural"),
+        F.max(F.coalesce("area_pct", F.lit(0.0))).alias("area"),
+        F.collect_set(F.nullif("image_hash", F.lit(""))).alias("images"),
+        F.count(F.lit(1)).alias("n"),
+        F.min("pos").alias("p"),
+    )
+    base = tallies.repartition("claim_id").groupBy(*KEYS).agg(
+        half_up(F.coalesce(F.try_divide(F.sum("ww").cast("double"), F.sum("w") * F.lit(1e6)), F.lit(0.0)), 4).alias("confidence"),
+        F.max("ext").alias("ext"),
+        F.max("sev").alias("sev"),
+        F.bool_or("structural").alias("structural_suspicion"),
+        half_up(F.max("area"), 2).alias("area_pct"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("images")))).alias("supporting_images"),
+        F.sum("n").alias("n_detections"),
+        F.min("p").alias("first_pos"),
+        F.collect_list(F.struct("w", "p", *[F.col(f"__{f}").alias(f) for f in VOTED])).alias("votes"),
     )
-    joined = base.join(votes, list(KEYS), "left")
     number = F.row_number().over(Window.partitionBy("claim_id").orderBy("first_pos", "type", "region_kind", "region"))
-    return joined.select(
+    return base.select(
         "claim_id",
         F.concat(F.lit("C"), number.cast("string")).alias("damage_id"),
         "type",
-        *[F.coalesce(f, F.lit("unknown")).alias(f) for f in VOTED],
+        *[F.coalesce(_voted(F.col("votes"), f), F.lit("unknown")).alias(f) for f in VOTED],
         word_at(F.col("ext"), EXTENSIONS).alias("extension"),
         word_at(F.col("sev"), SEVERITIES).alias("severity"),
         "confidence",

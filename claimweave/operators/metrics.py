@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimweave.functions.numeric import bin_of, half_up, rank_in
@@ -262,3 +262,28 @@ def precision_recall(matches: DataFrame, label: str = "label", outcome: str = "o
     r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fn")), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
     return counts.select(label, half_up(p, 4).alias("precision"), half_up(r, 4).alias("recall"), half_up(f1, 4).alias("f1"), (F.col("tp") + F.col("fn")).alias("n_true"))
+
+
+def average_precision(detections: DataFrame, truths: DataFrame, label: str = "label", score: str = "score", hit: str = "hit") -> DataFrame:
+    """(label, ap, n_true): area under the precision-recall curve of each class with true cases.
+
+    ``detections`` (label, score, hit) are matched already, at most one hit a
+    true case; ``truths`` is (label, n_true).  Detections of equal scores come
+    on together.  Precision at a recall is the best at that recall or beyond.
+    """
+    levels = detections.where(F.col(score).isNotNull()).groupBy(label, score).agg(F.count(F.lit(1)).alias("n"), F.count_if(hit).alias("tp"))
+    along = Window.partitionBy(label).orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
+    beyond = Window.partitionBy(label).orderBy(F.desc(score)).rowsBetween(0, Window.unboundedFollowing)
+    curve = levels.withColumn("precision", F.sum("tp").over(along).cast("double") / F.sum("n").over(along)).withColumn("best", F.max("precision").over(beyond))
+    area = curve.groupBy(label).agg(F.sum(F.col("best") * F.col("tp")).alias("area"))
+    kept = truths.where("n_true > 0")
+    return kept.join(area, label, "left").select(label, half_up(F.coalesce(F.col("area") / F.col("n_true"), F.lit(0.0)), 4).alias("ap"), "n_true")
+
+
+def estimate(damages: DataFrame, estimator: Callable[[DataFrame], DataFrame], columns: tuple[str, ...]) -> DataFrame:
+    """What an injected estimator makes of consolidated damages, held to the columns it must give."""
+    out = estimator(damages)
+    missing = set(columns) - set(out.columns)
+    if missing:
+        raise ValueError(f"the estimator gives no {sorted(missing)}")
+    return out.select(*columns)

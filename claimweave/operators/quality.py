@@ -14,22 +14,42 @@ def _grey(bgr: np.ndarray) -> np.ndarray:
     return np.rint(bgr[..., 0] * 0.114 + bgr[..., 1] * 0.587 + bgr[..., 2] * 0.299)
 
 
-def laplacian_variance(grey: np.ndarray) -> float:
-    """Variance of the 4-neighbour Laplacian with mirrored borders."""
-    p = np.pad(grey.astype("float64"), 1, mode="reflect")
+def region_of(grey: np.ndarray, roi) -> np.ndarray:
+    """The part of an image inside [x1, y1, x2, y2], rounded and cut to the image; the whole image for none or an empty one."""
+    if roi is None:
+        return grey
+    h, w = grey.shape
+    x1, y1, x2, y2 = (int(np.rint(v)) for v in roi)
+    x1, y1, x2, y2 = max(0, x1), max(0, y1), min(w, x2), min(h, y2)
+    return grey[y1:y2, x1:x2] if x2 > x1 and y2 > y1 else grey
+
+
+def laplacian_variance(grey: np.ndarray, roi=None) -> float:
+    """Variance of the 4-neighbour Laplacian with mirrored borders, of the whole image or of a region."""
+    p = region_of(grey, roi).astype("float64")
+    p = np.pad(p, 1, mode="reflect") if min(p.shape) > 1 else np.pad(p, 1, mode="edge")
     lap = p[:-2, 1:-1] + p[2:, 1:-1] + p[1:-1, :-2] + p[1:-1, 2:] - 4 * p[1:-1, 1:-1]
     return float(lap.var())
 
 
+def _triangle_weights(size: int, out: int) -> np.ndarray:
+    """(out, size) weights of a bilinear reduction: a triangle as wide as the step, so that every pixel counts."""
+    scale = size / out
+    support = max(scale, 1.0)
+    centre = (np.arange(out) + 0.5) * scale
+    far = np.abs(np.arange(size)[None, :] + 0.5 - centre[:, None]) / support
+    w = np.maximum(0.0, 1.0 - far)
+    return w / w.sum(axis=1, keepdims=True)
+
+
 def dhash(grey: np.ndarray) -> int:
-    """64 bits of left < right over 8 rows of 9 area averages, as a signed number."""
+    """64 bits of left < right over the image reduced to 9 x 8 bilinearly, first row first, as a signed number."""
     h, w = grey.shape
-    ys, xs = np.linspace(0, h, 9).astype(int), np.linspace(0, w, 10).astype(int)
-    cells = [[grey[ys[i] : max(ys[i + 1], ys[i] + 1), xs[j] : max(xs[j + 1], xs[j] + 1)].mean() for j in range(9)] for i in range(8)]
+    wide = np.floor(grey.astype("float64") @ _triangle_weights(w, 9).T + 0.5)
+    small = np.floor(_triangle_weights(h, 8) @ wide + 0.5)
     value = 0
-    for row in cells:
-        for a, b in zip(row, row[1:], strict=False):
-            value = value << 1 | int(a < b)
+    for bit in (small[:, 1:] > small[:, :-1]).ravel():
+        value = value << 1 | int(bit)
     return value - 2**64 if value >= 2**63 else value
 
 
@@ -44,6 +64,40 @@ def rust_share(bgr: np.ndarray) -> float:
     return float(((hue >= 10) & (hue <= 50) & (sat >= 50) & (high >= 20) & (high <= 200)).mean())
 
 
+def pixels_of(height: int, width: int, channels: int, raw: bytes) -> np.ndarray:
+    """Blue, green and red of a row of Spark's image source."""
+    pixels = np.frombuffer(raw, "uint8").reshape(height, width, channels)
+    return pixels[..., :3] if channels >= 3 else np.repeat(pixels[..., :1], 3, axis=2)
+
+
+def region_sharpness(images: DataFrame, roi: str = "roi") -> DataFrame:
+    """``images`` (image, and a region [x1, y1, x2, y2] or null) with the sharpness of that region; null for what cannot be decoded."""
+
+    @F.pandas_udf("double")
+    def measure(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.Series, box: pd.Series) -> pd.Series:
+        return pd.Series([round(laplacian_variance(_grey(pixels_of(h, w, c, raw)), b), 3) if h and h > 0 else None for h, w, c, raw, b in zip(height, width, channels, data, box, strict=True)], dtype="float64")
+
+    i = F.col("image")
+    return images.withColumn("sharpness", measure(i.getField("height"), i.getField("width"), i.getField("nChannels"), i.getField("data"), F.col(roi)))
+
+
+def with_vehicles(images: DataFrame, detector, schema: str = "origin string, vehicle_detected boolean, vehicle_area_fraction double, n_vehicles int, bbox array<int>") -> DataFrame:
+    """What an injected vehicle detector says of each image: ``detector(frame of origin, height, width, channels, data) -> frame`` runs on batches in the tasks."""
+    i = F.col("image")
+    fed = images.select(i.getField("origin").alias("origin"), i.getField("height").alias("height"), i.getField("width").alias("width"), i.getField("nChannels").alias("channels"), i.getField("data").alias("data"))
+
+    def run(batches):
+        for batch in batches:
+            yield detector(batch)
+
+    return fed.mapInPandas(run, schema)
+
+
+def valid_only(detections: DataFrame, verdicts: DataFrame, image: str = "image_id") -> DataFrame:
+    """Detections of images that passed the quality verdict; what an image that failed or has no verdict shows does not count."""
+    return detections.join(verdicts.where("valid").select(image).distinct(), image, "left_semi")
+
+
 def image_stats(images: DataFrame) -> DataFrame:
     """Rows of Spark's image source with width, height, megapixels and pixel statistics; nulls for what cannot be decoded."""
 
@@ -54,8 +108,7 @@ def image_stats(images: DataFrame) -> DataFrame:
             if h is None or h <= 0 or w <= 0:
                 rows.append((None,) * 6)
                 continue
-            pixels = np.frombuffer(raw, "uint8").reshape(h, w, c)
-            bgr = pixels[..., :3] if c >= 3 else np.repeat(pixels[..., :1], 3, axis=2)
+            bgr = pixels_of(h, w, c, raw)
             grey = _grey(bgr)
             rows.append((round(laplacian_variance(grey), 3), round(float((grey > 250).mean() * 100), 3), round(float((grey < 15).mean() * 100), 3), round(float(grey.mean()), 2), dhash(grey), round(rust_share(bgr), 4)))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in STATS.split(", ")]).astype({"dhash": "Int64"})
@@ -117,8 +170,37 @@ def union_area(boxes: DataFrame, image: str = "image_id") -> DataFrame:
     kind = dict(boxes.dtypes)[image]
     return boxes.groupBy(image).applyInPandas(run, f"`{image}` {kind}, fraction double, hull array<double>, n bigint")
 
-#: Tags of the main directory and of the photo's own that can identify a person, a place or a device.
-IDENTIFYING_TAGS = frozenset((0x010E, 0x010F, 0x0110, 0x0131, 0x0132, 0x013B, 0x8298, 0x9C9B, 0x9C9D, 0x8825, 0x9003, 0x9004, 0xA420, 0xA430, 0xA431))
+
+#: Tags of the main directory and of the photo's own that can identify a person, a place or a device.
+IDENTIFYING_TAGS = frozenset((271, 272, 305, 306, 315, 316, 33432, 37510, 42016, 34853, 36867, 36868, 42032, 42033, 42034))
+
+
+def strip_exif(content: bytes) -> bytes:
+    """A JPEG without its EXIF and other application segments but the first; anything else as it is.  Pixels are not encoded again."""
+    if not content or content[:2] != b"\xff\xd8":
+        return content
+    out, at = [content[:2]], 2
+    while at + 4 <= len(content) and content[at] == 0xFF and content[at + 1] not in (0xDA, 0xD9):
+        end = at + 2 + int.from_bytes(content[at + 2 : at + 4], "big")
+        if not 0xE1 <= content[at + 1] <= 0xEF:
+            out.append(content[at:end])
+        at = end
+    out.append(content[at:])
+    return b"".join(out)
+
+
+def stripped(files: DataFrame) -> DataFrame:
+    """(path, content, removed) of image files (path, content): identifying metadata taken off, files without any as they are."""
+
+    @F.pandas_udf("content binary, removed boolean")
+    def clean(content: pd.Series) -> pd.DataFrame:
+        rows = []
+        for c in content:
+            found = c is not None and bool(IDENTIFYING_TAGS & set(exif_tags(bytes(c))))
+            rows.append((strip_exif(bytes(c)) if found else c, found))
+        return pd.DataFrame(rows, columns=["content", "removed"])
+
+    return files.select("path", clean("content").alias("r")).select("path", "r.*")
 
 
 def exif_tags(content: bytes) -> list[int]:

@@ -31,20 +31,25 @@ def prototypes(rows: DataFrame, label: str, vector: str) -> DataFrame:
 def score_candidates(rows: DataFrame, identity: str, vector: str, candidates: str, protos: DataFrame, label: str = "label", scale: float = 100.0) -> DataFrame:
     """(identity, label, probability) of the best candidate by softmax over scaled cosine scores; the label first in order wins ties.
 
-    ``protos`` is a vocabulary of labels; each row meets only its own candidates.
+    ``protos`` is a vocabulary of labels: it travels as one value, and a row
+    scores its own candidates where it lies, without a shuffle.
     """
-    wanted = rows.select(identity, unit(F.col(vector)).alias("__u"), F.explode(candidates).alias(label))
-    scored = wanted.join(protos, label).select(identity, label, (dot(F.col("__u"), F.col("prototype")) * scale).alias("__s"))
-    w = Window.partitionBy(identity)
-    share = F.exp(F.col("__s") - F.max("__s").over(w))
-    ranked = scored.withColumn("__e", share).withColumn("__p", F.col("__e") / F.sum("__e").over(w))
-    first = F.row_number().over(w.orderBy(F.desc(F.round("__s", 9)), label))
-    return ranked.withColumn("__rn", first).where("__rn = 1").select(identity, label, F.round("__p", 4).alias("probability"))
+    vocabulary = protos.agg(F.collect_list(F.struct(F.col(label).alias("label"), "prototype"))).scalar()
+    mine = F.filter("__known", lambda p: F.array_contains(F.col(candidates), p["label"]))
+    fed = rows.select(identity, candidates, unit(F.col(vector)).alias("__u"), vocabulary.alias("__known"))
+    scored = fed.select(identity, F.transform(mine, lambda p: F.struct((-F.round(dot(F.col("__u"), p["prototype"]) * scale, 9)).alias("s"), p["label"].alias("label"))).alias("__all")).where("size(__all) > 0")
+    best = scored.select(identity, "__all", F.array_min("__all").alias("__best"))
+    total = F.aggregate("__all", F.lit(0.0), lambda acc, x: acc + F.exp(F.col("__best.s") - x["s"]))
+    return best.select(identity, F.col("__best.label").alias(label), F.round(1 / total, 4).alias("probability"))
 
 
-def assign_fine(rows: DataFrame, identity: str, coarse: str, vector: str, mapping: dict[str, tuple[str, ...]], protos: DataFrame, min_confidence: float = 0.55) -> DataFrame:
+def assign_fine(rows: DataFrame, identity: str, coarse: str, vector: str, mapping: dict[str, tuple[str, ...]], protos: DataFrame, min_confidence: float = 0.55, classifier=None) -> DataFrame:
     """(identity, fine, confidence, method, needs_review) of coarse labels.
 
+    ``classifier`` may be given in place of the cosine scores: a function of
+    (rows with identity, __v and the candidates __c) that returns (identity,
+    label, probability), the label named as in ``protos``.
+
     No candidate: unmapped.  One: direct.  Several: the classifier decides where
     there is a vector, and a low confidence asks for review; without a vector
     the first candidate stands, for review.
@@ -52,7 +57,7 @@ def assign_fine(rows: DataFrame, identity: str, coarse: str, vector: str, mappin
     pairs = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.array(*[F.lit(f) for f in v]))])
     cand = rows.select(identity, F.col(vector).alias("__v"), F.coalesce(F.try_element_at(pairs, F.col(coarse)), F.array().cast("array<string>")).alias("__c"))
     open_rows = cand.where((F.size("__c") > 1) & F.col("__v").isNotNull())
-    decided = score_candidates(open_rows, identity, "__v", "__c", protos, protos.columns[0])
+    decided = classifier(open_rows) if classifier else score_candidates(open_rows, identity, "__v", "__c", protos, protos.columns[0])
     joined = cand.join(decided.select(identity, F.col(protos.columns[0]).alias("__fine"), "probability"), identity, "left")
     n = F.size("__c")
     return joined.select(
@@ -89,3 +94,13 @@ def prompts_to_classes(prompts: dict[str, str]) -> dict[str, str]:
             if phrase.strip():
                 out.setdefault(phrase.strip(), name)
     return out
+
+
+def near_files(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` placed and sorted by path, so that batch work opens the files of a folder one after the other."""
+    return rows.repartitionByRange(path).sortWithinPartitions(path)
+
+
+def certainty_mark(score: Column, high: float = 0.7, medium: float = 0.4) -> Column:
+    """Word for a score as pages show it."""
+    return F.when(score >= high, "high").when(score >= medium, "medium").when(score.isNotNull(), "low")

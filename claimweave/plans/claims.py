@@ -214,7 +214,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ground_truth.es_estructural").alias("structural_truth"), "severity_pred", F.col("ground_truth.severidad_oficial").alias("severity_truth"), F.when(F.col("processing_time_ms") >= 0, F.col("processing_time_ms")).alias("processing_time_ms"),
     )
     fields = [c for c in rows.columns if c not in ("record_id", "received_at")]
-    return rows.groupBy("record_id").agg(F.min_by(F.struct(*fields), nulls_last("received_at")).alias("r")).select("record_id", "r.*")
+    return rows.groupBy("record_id").agg(F.min(F.struct(nulls_last("received_at").alias("__at"), *fields)).alias("r")).select("record_id", *[f"r.{f}" for f in fields])
 
 
 _RECORDS = """
@@ -325,7 +325,14 @@ def calibration_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.calibration_error(metrics.reliability_curve(_scored(spark, sf_dir)))
 
 
-@query()
+@query(
+    _SCORED.replace("select confidence,", "select claim_id, pos, confidence,", 1)
+    + """, lv as (select confidence as x, sum(label) as y, count(*) as w from scored group by 1),
+fit as (select a.x, max(b.low) as v from lv a join (
+  select s.x as start, t.x as at, min(m.mean) as low from lv s join lv t on s.x <= t.x join (
+    select f.x as start, g.x as stop, sum(k.y) / sum(k.w) as mean from lv f join lv g on f.x <= g.x join lv k on k.x between f.x and g.x group by 1, 2) m on m.start = s.x and m.stop >= t.x group by 1, 2) b on b.at = a.x group by 1)
+select d.claim_id, d.pos, round(f.v, 4) as confidence, d.confidence as confidence_raw from scored d join fit f on d.confidence = f.x"""
+)
 def isotonic_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(_scored(spark, sf_dir), "scored").df
     return metrics.Calibrator("isotonic").fit(rows).transform(rows).select("claim_id", "pos", "confidence", "confidence_raw")
@@ -430,7 +437,7 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").option("recursiveFileLookup", "false").parquet(sf_dir)
 
 
-@query()
+@query("select time_bucket(interval '1 day', ts) as start, event_type, count(*) as n from events group by 1, 2")
 def streaming_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimweave.streaming.monitor import windowed_counts
 
@@ -438,7 +445,7 @@ def streaming_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("start", "event_type").agg(F.max_by("n", "batch").alias("n"))
 
 
-@query()
+@query("select cast(l_orderkey as varchar) as claim_id, count(*) as n_detections, count(distinct l_returnflag || '|' || l_linestatus) as n_damages, max(l_discount) as best from lineitem group by 1")
 def streaming_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimweave.streaming.monitor import running_damages
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +13,10 @@ from claimweave.operators import annotations as ann
 from claimweave.operators import lookup, neardup, quality, relabel, split
 from claimweave.operators.graph import connected_components
 from claimweave.operators.skew import lookup_join
-from claimweave.operators.staging import stage, stage_root
+from claimweave.operators.staging import stage
 from claimweave.plans.adapter import WITH, detections
 from claimweave.session import read_table
 from claimweave.sinks import files as sinks
-from claimweave.sources import files as sources
 
 QUERIES, ORACLES = {}, {}
 
@@ -37,16 +34,17 @@ def query(sql: str | None = None):
 
 
 def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per image id, the first ingested."""
+    """One row per image id, the first ingested, of those ingested together the smallest."""
     t = read_table(spark, sf_dir, "coco_images").where("id is not null")
-    return t.groupBy("id").agg(F.min_by(F.struct("file_name", "width", "height", "source", "build_id", "dhash"), nulls_last("ingested_at")).alias("i")).select("id", "i.*")
+    fields = ("file_name", "width", "height", "source", "build_id", "dhash")
+    return t.groupBy("id").agg(F.min(F.struct(nulls_last("ingested_at").alias("__at"), *fields)).alias("i")).select("id", *[f"i.{f}" for f in fields])
 
 
 def _annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per annotation id, the first received, outlines parsed."""
+    """One row per annotation id, the first received, of those received together the smallest; outlines parsed."""
     t = read_table(spark, sf_dir, "coco_annotations").where("id is not null")
     fields = ("image_id", "category_id", "bbox", "area", "segmentation", "fine_conf")
-    one = t.groupBy("id").agg(F.min_by(F.struct(*fields), nulls_last("received_at")).alias("a")).select("id", "a.*")
+    one = t.groupBy("id").agg(F.min(F.struct(nulls_last("received_at").alias("__at"), *fields)).alias("a")).select("id", *[f"a.{f}" for f in fields])
     return one.withColumn("polygons", F.from_json("segmentation", "array<array<double>>"))
 
 
@@ -369,17 +367,8 @@ def template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detections(spark, sf_dir).select("claim_id", "pos", text.alias("text"))
 
 
-@query(WITH + ", v as (select unnest(['scratch', 'dent', 'crack', 'paint_chip', 'puncture', 'broken_light']) as type), z as (select unnest(['front', 'rear', 'front_left', 'front_right', 'rear_left', 'rear_right']) as zone), t as (select distinct type, zone from detections where claim_id % 40 = 0) select v.type, z.zone, 'missing' as gap from v, z where not exists (select 1 from t where t.type = v.type and t.zone = z.zone) union all select type, zone, 'unknown' from t where zone not in (select zone from z) or type not in (select type from v)")
-def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Combinations of type and zone that a table made of every 40th claim lacks."""
-    from claimweave.functions.vocabulary import ZONES
-
-    table = detections(spark, sf_dir).where("claim_id % 40 = 0").select("type", "zone")
-    return lookup.coverage_gaps(table, {"type": DAMAGE_TYPES, "zone": ZONES})
-
-
 @query(WITH + ", v as (select unnest(['scratch', 'dent', 'crack', 'paint_chip', 'puncture', 'broken_light']) as type), z as (select unnest(['front', 'rear', 'front_left', 'front_right', 'rear_left', 'rear_right']) as zone), t as (select distinct type, zone from detections) select v.type, z.zone, 'missing' as gap from v, z where not exists (select 1 from t where t.type = v.type and t.zone = z.zone) union all select type, zone, 'unknown' from t where zone not in (select zone from z) or type not in (select type from v)")
-def coverage_gaps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Combinations of type and zone that all detections lack, and those they have outside the vocabularies."""
     from claimweave.functions.vocabulary import ZONES
 
@@ -453,34 +442,3 @@ def last_source_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     offers = o.select(F.col("o_orderkey"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("source_order")).select(F.concat(F.lit("f"), F.col("o_orderkey")).alias("file_name"), "source_order", F.col("o_orderkey"))
     return lookup.last_source_wins(offers, "file_name", "source_order").where("source_order = 2").groupBy((F.col("o_orderkey") % 3).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-
-
-# --- files: one document per build, so that no value outgrows a build
-
-
-@query()
-def coco_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Annotations written as one COCO document per build and read back with classes mapped."""
-    images, rows = _images(spark, sf_dir), _annotations(spark, sf_dir)
-    of_image = images.groupBy("build_id").agg(F.collect_list(F.struct("id", "file_name", "width", "height")).alias("images"))
-    mine = rows.join(images.select(F.col("id").alias("image_id"), "build_id"), "image_id").where("category_id is not null")
-    outline = F.when(F.col("segmentation") != "[]", F.col("segmentation"))
-    of_ann = mine.groupBy("build_id").agg(F.collect_list(F.struct("id", "image_id", "category_id", outline.alias("segmentation"), "bbox", "area", "fine_conf")).alias("annotations"))
-    categories = read_table(spark, sf_dir, "coco_categories").agg(F.collect_list(F.struct("id", "name", "supercategory"))).scalar()
-    documents = of_image.join(of_ann, "build_id").select("build_id", F.to_json(F.struct("images", "annotations", categories.alias("categories"))).alias("value"))
-    path = f"{stage_root(spark)}/coco-{uuid.uuid4().hex}"
-    documents.repartition("build_id").write.partitionBy("build_id").text(path)
-    return sources.mapped_annotations(sources.read_coco(spark, path, "*.txt")).groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("polygons").isNotNull()).alias("n_outlined"))
-
-
-@query()
-def cvat_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outlines written as CVAT images and read back: labels, shapes and areas."""
-    images = _images(spark, sf_dir)
-    names = read_table(spark, sf_dir, "coco_categories").select(F.col("id").alias("category_id"), "name")
-    shapes = _annotations(spark, sf_dir).join(names, "category_id").select("image_id", F.col("id").alias("ordinal"), F.col("name").alias("label"), F.get("polygons", F.lit(0)).alias("polygon"), F.col("fine_conf").alias("confidence")).where("polygon is not null")
-    elements = sinks.cvat_images(images.withColumn("review_order", F.col("id")), shapes)
-    path = f"{stage_root(spark)}/cvat-{uuid.uuid4().hex}"
-    elements.select(F.col("element").alias("value")).write.text(path)
-    _, polygons = sources.read_cvat(spark, path, DAMAGE_TYPES)
-    return polygons.groupBy("label").agg(F.count(F.lit(1)).alias("n"), half_up(F.sum(F.col("area").cast("decimal(24,4)"))).alias("area"))

@@ -75,7 +75,7 @@ def cvat_images(images: DataFrame, shapes: DataFrame) -> DataFrame:
     first = shapes.groupBy("image_id").agg(F.min_by(F.struct("label", "polygon", "confidence"), "ordinal").alias("s"))
     esc = lambda c: F.replace(F.replace(F.replace(F.coalesce(c, F.lit("unknown")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
     shape = F.concat(F.lit('<polygon label="'), esc(F.col("s.label")), F.lit('" points="'), format_points(F.col("s.polygon")), F.lit('"><attribute name="confidence">'), F.format_string("%.3f", F.coalesce("s.confidence", F.lit(0.0))), F.lit("</attribute></polygon>"))
-    element = F.concat(F.lit('<image id="'), F.col("review_order").cast("string"), F.lit('" name="'), esc(F.col("file_name")), F.lit('" width="'), F.col("width").cast("string"), F.lit('" height="'), F.col("height").cast("string"), F.lit('">'), F.coalesce(shape, F.lit("")), F.lit("</image>"))
+    element = F.concat(F.lit('<image id="'), F.col("review_order").cast("string"), F.lit('" name="'), esc(F.col("file_name")), F.lit('" width="'), F.col("width").cast("string"), F.lit('" height="'), F.col("height").cast("string"), F.lit('">'), F.when(F.col("s").isNotNull(), shape).otherwise(F.lit("")), F.lit("</image>"))
     return images.join(first, images["id"] == first["image_id"], "left").select("review_order", element.alias("element"))
 
 
@@ -85,6 +85,35 @@ def write_cvat(elements: DataFrame, path: str) -> None:
     Path(path).write_text(f'<?xml version="1.0" encoding="utf-8"?>\n<annotations>\n<version>1.1</version>\n{body}\n</annotations>\n')
 
 
+def write_cvat_parts(images: DataFrame, shapes: DataFrame, path: str) -> None:
+    """A folder of XML files, each complete, written by the tasks: for exports of any size."""
+    first = shapes.groupBy("image_id").agg(F.min_by(F.struct("label", "polygon", "confidence"), "ordinal").alias("s"))
+    score = F.struct(F.lit("confidence").alias("_name"), F.format_string("%.3f", F.coalesce("s.confidence", F.lit(0.0))).alias("_VALUE"))
+    shape = F.struct(F.coalesce("s.label", F.lit("unknown")).alias("_label"), format_points(F.col("s.polygon")).alias("_points"), score.alias("attribute"))
+    rows = images.join(first, images["id"] == first["image_id"], "left").select(
+        F.col("review_order").alias("_id"), F.col("file_name").alias("_name"), F.col("width").alias("_width"), F.col("height").alias("_height"), F.when(F.col("s").isNotNull(), F.array(shape)).alias("polygon")
+    )
+    rows.write.mode("overwrite").format("xml").option("rootTag", "annotations").option("rowTag", "image").save(path)
+
+
+def write_documents(documents: DataFrame, path: str, value: str = "value") -> None:
+    """One JSON document a line, as text."""
+    documents.select(F.col(value).alias("value")).write.mode("overwrite").text(path)
+
+
+def output_document(claims: DataFrame, assembled: DataFrame) -> DataFrame:
+    """(claim_id, value): the evaluation of a claim as one JSON document, a claim without damages with an empty list.
+
+    ``claims`` has claim_id, id_evaluacion, timestamp, model_version, input_hashes and processing_time_ms;
+    ``assembled`` comes from :func:`claimweave.operators.consolidate.assemble_claims`.
+    """
+    joined = claims.join(assembled, "claim_id", "left")
+    damages = F.coalesce("damages", F.array().cast(dict(assembled.dtypes)["damages"]))
+    zones = F.coalesce("zones_summary", F.create_map().cast(dict(assembled.dtypes)["zones_summary"]))
+    audit = F.struct("input_hashes", "processing_time_ms")
+    return joined.select("claim_id", F.to_json(F.struct("id_evaluacion", F.col("claim_id").cast("string").alias("claim_id"), "timestamp", "model_version", damages.alias("damages"), zones.alias("zones_summary"), audit.alias("audit"))).alias("value"))
+
+
 def zip_package(xml: str, files: list[str], target: str) -> None:
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         z.write(xml, "annotations.xml")
@@ -110,12 +139,43 @@ def append_audit(records: DataFrame, path: str) -> None:
     records.withColumnRenamed("line", "value").write.mode("append").partitionBy("date").text(path)
 
 
-def html_table(df: DataFrame, title: str, limit: int = 200) -> str:
-    """A self-contained page with the first rows of a small result; ``limit`` is what a page shows."""
-    rows = df.limit(limit).collect()
+def _rows_html(df: DataFrame, limit: int) -> str:
     head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-    body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in r) + "</tr>" for r in rows)
-    return f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1><table border='1'><tr>{head}</tr>{body}</table></body></html>"
+    body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in r) + "</tr>" for r in df.limit(limit).collect())
+    return f"<table border='1'><tr>{head}</tr>{body}</table>"
+
+
+def html_page(title: str, parts: list[tuple[str, DataFrame]], limit: int = 200) -> str:
+    """A self-contained page with the first rows of some results under headings; ``limit`` is what a page shows of each."""
+    inside = "".join(f"<h2>{html.escape(name)}</h2>{_rows_html(df, limit)}" for name, df in parts)
+    return f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1>{inside}</body></html>"
+
+
+def html_table(df: DataFrame, title: str, limit: int = 200) -> str:
+    return html_page(title, [("", df)], limit)
+
+
+def metrics_page(headline: DataFrame, brackets: DataFrame, targets: DataFrame, intervals: DataFrame) -> str:
+    """Metrics of a golden set: headline figures, error per bracket, targets, intervals."""
+    return html_page("Metrics", [("Headline", headline), ("Error per bracket", brackets), ("Targets", targets), ("Intervals", intervals)])
+
+
+def appraisal_page(claim: DataFrame, damages: DataFrame) -> str:
+    """One claim and its damages, all of them."""
+    return html_page("Appraisal", [("Claim", claim), ("Damages", damages)], damages.count() + 1)
+
+
+def review_page(images: DataFrame, score: str, shown: int = 200) -> str:
+    """The images to be looked at first: least certain ones first, a page of them, each with a mark for its certainty."""
+    c = F.col(score)
+    ranked = images.withColumn("certainty", F.when(c >= 0.5, "high").when(c >= 0.3, "medium").otherwise("low")).orderBy(score, *[x for x in images.columns if x != score])
+    return html_page("Review", [("Least certain images", ranked)], shown)
+
+
+def spot_check_page(sample: DataFrame, label: str) -> str:
+    """A sample of each class side by side; the sample is bounded by what was drawn per class."""
+    names = [r[0] for r in sample.select(label).distinct().orderBy(label).collect()]
+    return html_page("Spot check", [(str(n), sample.where(F.col(label) == n)) for n in names], sample.count() + 1)
 
 
 _OUTPUT = (

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import io
+import shutil
 import zipfile
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -32,19 +34,19 @@ def whole_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFra
     return files.select("path", "length", F.decode("content", "UTF-8").alias("value")).dropDuplicates(["path"])
 
 
-def discover_coco(spark: SparkSession, path: str, min_bytes: int = 1000) -> DataFrame:
+def discover_coco(spark: SparkSession, path: str, min_bytes: int = 1000, glob: str = "*.json") -> DataFrame:
     """Paths of files that are large enough and have images and annotations."""
     keys = F.json_object_keys("value")
-    return whole_files(spark, path).where((F.col("length") > min_bytes) & F.array_contains(keys, "annotations") & F.array_contains(keys, "images")).select("path")
+    return whole_files(spark, path, glob).where((F.col("length") > min_bytes) & F.array_contains(keys, "annotations") & F.array_contains(keys, "images")).select("path")
 
 
-def sniff_format(spark: SparkSession, path: str) -> DataFrame:
+def sniff_format(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """(path, kind) of JSON files: via, fiftyone, coco or unknown, in this order of preference."""
     value = F.col("value")
     keys = F.json_object_keys(value)
     via = F.col("path").endswith("via_annos.json") | (F.element_at(F.from_json(value, "map<string, struct<regions string>>"), F.get(keys, F.lit(0))).getField("regions").isNotNull())
     kind = F.when(via, "via").when(F.array_contains(keys, "samples"), "fiftyone").when(F.array_contains(keys, "annotations") & F.array_contains(keys, "images"), "coco").otherwise("unknown")
-    return whole_files(spark, path).select("path", F.coalesce(kind, F.lit("unknown")).alias("kind"))
+    return whole_files(spark, path, glob).select("path", F.coalesce(kind, F.lit("unknown")).alias("kind"))
 
 
 class CocoTables:
@@ -119,31 +121,50 @@ def read_via(spark: SparkSession, path: str, glob: str = "*via*.json") -> DataFr
 _SAMPLES = "samples array<struct<filepath: string, metadata: struct<width: int, height: int>, segmentations: struct<detections: array<struct<label: string, bounding_box: array<double>, mask: struct<`$binary`: struct<base64: string>>>>>>>"
 
 
+def _runs(mask: np.ndarray) -> list[tuple[int, int, int]]:
+    """(row, first, after) of every run of set pixels, in reading order."""
+    edges = np.diff(np.pad(mask.astype("int8"), ((0, 0), (1, 1))), axis=1)
+    row, first = np.nonzero(edges == 1)
+    after = np.nonzero(edges == -1)[1]
+    return list(zip(row.tolist(), first.tolist(), after.tolist(), strict=True))
+
+
 def _outline(mask: np.ndarray) -> list[float] | None:
-    """Boundary of the largest 4-connected region of a mask: per row its first and last pixel, walked around."""
-    seen = np.zeros(mask.shape, bool)
-    best: list[tuple[int, int]] = []
-    for y, x in zip(*np.nonzero(mask), strict=True):
-        if seen[y, x]:
-            continue
-        region, todo = [], [(int(y), int(x))]
-        seen[y, x] = True
-        while todo:
-            cy, cx = todo.pop()
-            region.append((cy, cx))
-            for ny, nx in ((cy - 1, cx), (cy + 1, cx), (cy, cx - 1), (cy, cx + 1)):
-                if 0 <= ny < mask.shape[0] and 0 <= nx < mask.shape[1] and mask[ny, nx] and not seen[ny, nx]:
-                    seen[ny, nx] = True
-                    todo.append((ny, nx))
-        if len(region) > len(best):
-            best = region
-    if not best:
+    """Boundary of the largest 4-connected region of a mask: per row its first and last pixel, walked around.
+
+    Regions are joined run by run, so the work grows with the outline and not with the pixels.
+    """
+    runs = _runs(mask)
+    if not runs:
         return None
-    rows: dict[int, list[int]] = {}
-    for y, x in best:
-        rows.setdefault(y, []).append(x)
+    parent = list(range(len(runs)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    above, start = 0, 0
+    for i, (y, x0, x1) in enumerate(runs):
+        while runs[above][0] < y - 1 or (runs[above][0] == y - 1 and runs[above][2] <= x0 and above < i):
+            above += 1
+        start = above
+        while start < i and runs[start][0] == y - 1 and runs[start][1] < x1:
+            a, b = root(start), root(i)
+            parent[max(a, b)] = min(a, b)
+            start += 1
+    sizes: dict[int, int] = {}
+    for i, (_, x0, x1) in enumerate(runs):
+        sizes[root(i)] = sizes.get(root(i), 0) + x1 - x0
+    best = max(sizes, key=lambda r: (sizes[r], -r))
+    rows: dict[int, tuple[int, int]] = {}
+    for i, (y, x0, x1) in enumerate(runs):
+        if root(i) == best:
+            lo, hi = rows.get(y, (x0, x1 - 1))
+            rows[y] = (min(lo, x0), max(hi, x1 - 1))
     ys = sorted(rows)
-    left, right = [(min(rows[y]), y) for y in ys], [(max(rows[y]), y) for y in reversed(ys)]
+    left, right = [(rows[y][0], y) for y in ys], [(rows[y][1], y) for y in reversed(ys)]
     return [float(v) for p in left + right for v in p]
 
 
@@ -198,7 +219,7 @@ def read_cvat(spark: SparkSession, path: str, labels: tuple[str, ...]) -> tuple[
 def open_container(path: str, into: str) -> tuple[str, str]:
     """(kind, path) of an export: the first XML of a ZIP, else its first JSON; XML and JSON as they are.
 
-    A driver-side step for one file.
+    Images below ``data/`` of a ZIP are laid beside it, in ``into/data``.  A driver-side step for one file.
     """
     p = Path(path)
     if p.suffix.lower() == ".zip":
@@ -207,10 +228,12 @@ def open_container(path: str, into: str) -> tuple[str, str]:
             chosen = next((n for n in names if n.lower().endswith(".xml")), None) or next((n for n in names if n.lower().endswith(".json")), None)
             if chosen is None:
                 raise ValueError(f"{path} holds neither XML nor JSON")
-            target = Path(into) / Path(chosen).name
-            target.parent.mkdir(parents=True, exist_ok=True)
-            target.write_bytes(z.read(chosen))
-        p = target
+            pictures = [n for n in names if n.startswith("data/") and n.lower().rsplit(".", 1)[-1] in IMAGE_SUFFIXES]
+            for name, target in [(chosen, Path(into) / Path(chosen).name), *((n, Path(into) / "data" / Path(n).name) for n in pictures)]:
+                target.parent.mkdir(parents=True, exist_ok=True)
+                with z.open(name) as source, target.open("wb") as sink:
+                    shutil.copyfileobj(source, sink)
+        p = Path(into) / Path(chosen).name
     kind = {".xml": "xml", ".json": "json"}.get(p.suffix.lower())
     if kind is None:
         raise ValueError(f"{path} is no export")
@@ -242,22 +265,49 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def label_statistics(spark: SparkSession, path: str) -> DataFrame:
+    """(split, n_files, n_lines, n_blank, n_short) of label files: files with or without shapes, lines with one, blank lines, lines of too few numbers.
+
+    Empty files are known from the listing alone, which the driver holds for any read; a scan passes over them.
+    """
+    listed = Counter(f.rsplit("/", 2)[-2] for f in spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path).inputFiles())
+    counts = spark.createDataFrame(sorted(listed.items()), "split string, n_files bigint")
+    files = whole_files(spark, path, "*.txt").select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("split"), F.split(F.regexp_replace("value", r"\n\z", ""), "\n").alias("lines"))
+    count = lambda test: F.sum(F.size(F.filter("lines", test)))
+    tokens = lambda line: F.size(F.split(F.trim(line), r"\s+"))
+    blank = lambda line: F.trim(line) == ""
+    found = files.groupBy("split").agg(count(lambda x: ~blank(x) & (tokens(x) >= 7)).alias("n_lines"), count(blank).alias("n_blank"), count(lambda x: ~blank(x) & (tokens(x) < 7)).alias("n_short"))
+    return counts.join(found, "split", "left").select("split", "n_files", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_lines", "n_blank", "n_short")])
+
+
+def outline_kinds(annotations: DataFrame) -> DataFrame:
+    """(path, n_polygons, n_run_length, n_without): what a conversion to label lines takes, and what it skips."""
+    polygons = F.coalesce(F.size("polygons") > 0, F.lit(False))
+    return annotations.groupBy("path").agg(F.count_if(polygons).alias("n_polygons"), F.count_if("is_rle").alias("n_run_length"), F.count_if(~polygons & ~F.col("is_rle")).alias("n_without"))
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(path, value) of a folder of JSON documents, broken ones included, for validation."""
-    return whole_files(spark, path).select("path", "value").orderBy("path")
+    return whole_files(spark, path).select("path", "value")
 
 
 def read_yaml_rows(spark: SparkSession, path: str, at: str, key: str = "key") -> DataFrame:
-    """A mapping inside a small YAML file as rows (key, value as JSON text); ``at`` is a dotted path into the file."""
+    """A mapping inside small YAML files as rows (path, key, value as JSON text), of every file; ``at`` is a dotted path into each."""
     import json
 
     import yaml
 
-    text = "".join(r["value"] + "\n" for r in spark.read.option("wholetext", "true").text(path).limit(2).collect())
-    node = yaml.safe_load(text)
-    for part in at.split(".") if at else []:
-        node = node[part]
-    return spark.createDataFrame([(str(k), json.dumps(v, ensure_ascii=False)) for k, v in node.items()], f"{key} string, value string")
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for file, text in zip(batch["path"], batch["value"], strict=True):
+                node = yaml.safe_load(text)
+                for part in at.split(".") if at else []:
+                    node = node[part]
+                rows.extend((file, str(k), json.dumps(v, ensure_ascii=False)) for k, v in node.items())
+            yield pd.DataFrame(rows, columns=["path", key, "value"])
+
+    return whole_files(spark, path, "*.y*ml").select("path", "value").mapInPandas(run, f"path string, `{key}` string, value string")
 
 
 def read_annotations(spark: SparkSession, path: str) -> tuple[str, DataFrame]:

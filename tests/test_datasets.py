@@ -376,7 +376,7 @@ def test_gaps_of_all_detections_hold_against_a_count(spark, sf_dir):
 
     seen = rows(detections(spark, sf_dir).select("type", "zone").distinct())
     every = {(t, z) for t in DAMAGE_TYPES for z in ZONES}
-    assert rows(datasets.coverage_gaps_all(spark, sf_dir)) == {(*c, "missing") for c in every - seen} | {(*c, "unknown") for c in seen - every}
+    assert rows(datasets.coverage_gaps(spark, sf_dir)) == {(*c, "missing") for c in every - seen} | {(*c, "unknown") for c in seen - every}
 
 
 # --- contracts

@@ -14,9 +14,9 @@ item aligned to its best place in the document with at most ``MAX_EDITS`` of its
 words edited and ``MIN_KEYS`` of its figures and names kept.
 
 Only the items are broadcast, below ``MAX_ITEM_WINDOWS`` windows; more are
-worked off in blocks of items, each block one pass over the corpus.  Documents
-are read in one map-only pass of whole texts; nothing is shuffled but the
-candidates found.
+worked off in blocks of items, one after the other, each block one pass over the
+corpus.  Documents are read in a map-only pass of whole texts; nothing is
+shuffled but the leaks found.
 
 Defined results: null or empty texts hold and leak nothing; an item shorter
 than a window is compared as one padded window; repeated items or documents
@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.text import spoken, text_words
+from claimweave.operators.staging import stage
 
 WINDOW = 16
 RUN = 16
@@ -48,8 +49,11 @@ STEPS = 28
 SEED = 20240607
 #: Windows of items that one pass holds in memory.
 MAX_ITEM_WINDOWS = 2_000_000
-_CHUNK = 250_000
+#: Windows that are embedded side by side: their arrays stay in a core's cache.
+_CHUNK = 16_384
 _STRETCH = 4096
+#: Leading bits of a signature under which a table notes that it has one.
+_NOTED = 20
 
 
 def _positions() -> list[list[np.ndarray]]:
@@ -67,8 +71,21 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+class _Hashes(dict):
+    """Hash of each word, taken once; emptied when it grows large."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_HASHES = _Hashes()
+
+
 def word_hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), "uint64", len(words))
+    return np.fromiter(map(_HASHES.__getitem__, words), "uint64", len(words))
 
 
 def run_hashes(words: np.ndarray) -> np.ndarray:
@@ -94,23 +111,38 @@ def window_starts(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(starts), np.concatenate(owners)
 
 
-def signatures(tape: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def walk_bits(tape: np.ndarray) -> list[np.ndarray]:
+    """For each walk and place the bits that say in which steps the walk moves on from there."""
+    return [(_mix(tape, walk) >> np.uint64(32)).astype("uint32") for walk in range(WALKS)]
+
+
+def signatures(tape: np.ndarray, starts: np.ndarray, bits: list[np.ndarray] | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """(table number, signature of each window) of every table; 0 on the tape is a blank."""
+    bits = bits or walk_bits(tape)
+    factor, one = np.uint64(0xD6E8FEB86659FD93), np.uint32(1)
     for walk, tables in enumerate(_positions()):
-        bits = _mix(tape, walk)
+        sampled = [[t for t in range(TABLES) if step in tables[t]] for step in range(STEPS)]
         at = starts.astype("int64")
         end = at + WINDOW
         acc = [np.full(len(starts), np.uint64(walk * TABLES + t + 1)) for t in range(TABLES)]
-        for step in range(STEPS):
-            inside = at < end
-            here = np.minimum(at, end - 1)
-            word = np.where(inside, tape[here], np.uint64(0))
-            with np.errstate(over="ignore"):
-                for t in range(TABLES):
-                    if step in tables[t]:
-                        acc[t] = (acc[t] ^ word) * np.uint64(0xD6E8FEB86659FD93)
-                        acc[t] ^= acc[t] >> np.uint64(32)
-            at = at + (inside & ((bits[here] >> np.uint64(step)) & np.uint64(1)).astype(bool))
+        with np.errstate(over="ignore"):
+            for step in range(max(s for s in range(STEPS) if sampled[s]) + 1):
+                # past its window a walk writes blanks; the place after the last text is a blank as well
+                inside = at < end
+                if sampled[step]:
+                    word = tape.take(at)
+                    word *= inside
+                    for t in sampled[step]:
+                        acc[t] *= factor
+                        acc[t] += word
+                move = bits[walk].take(at)
+                move >>= np.uint32(step)
+                move &= one
+                move *= inside
+                at += move
+            for t in range(TABLES):
+                acc[t] ^= acc[t] >> np.uint64(32)
+                acc[t] *= factor
         for t in range(TABLES):
             yield walk * TABLES + t, acc[t]
 
@@ -172,7 +204,8 @@ class ItemIndex:
         self.ids = [i for i, t in items]
         self.words = [word_hashes(text_words(t)) for _, t in items]
         self.keys = [np.array(key_flags(t), bool) if t else np.zeros(0, bool) for _, t in items]
-        self.runs = [run_hashes(w) for w in self.words]
+        self.run_sets = [frozenset(run_hashes(w).tolist()) for w in self.words]
+        self.key_words = [w[k].tolist() for w, k in zip(self.words, self.keys, strict=True)]
         tape = _tape(self.words)
         starts, owners = window_starts([len(w) for w in self.words])
         tables: list[tuple[np.ndarray, np.ndarray]] = []
@@ -180,13 +213,25 @@ class ItemIndex:
             pairs = np.unique(np.stack([sig, owners.astype("uint64")]), axis=1)
             tables.append((pairs[0], pairs[1].astype("int64")))
         self.tables = tables
-
-    def possible(self, item: int, vocabulary: np.ndarray, runs: np.ndarray) -> bool:
+        self._notes: list[np.ndarray] | None = None
+
+    @property
+    def notes(self) -> list[np.ndarray]:
+        """Of each table whether it may have a signature with these leading bits; made where it is used, so it does not travel."""
+        if self._notes is None:
+            self._notes = []
+            for have, _ in self.tables:
+                note = np.zeros(1 << _NOTED, bool)
+                note[(have >> np.uint64(64 - _NOTED)).astype("int64")] = True
+                self._notes.append(note)
+        return self._notes
+
+    def possible(self, item: int, vocabulary: set[int], runs: set[int]) -> bool:
         """Whether verification can succeed: a whole run in common, or enough keys somewhere in the document."""
-        words, keys = self.words[item], self.keys[item]
-        if len(words) < RUN or np.isin(self.runs[item], runs).any():
+        if len(self.words[item]) < RUN or not self.run_sets[item].isdisjoint(runs):
             return True
-        return not keys.any() or np.isin(words[keys], vocabulary).mean() >= MIN_KEYS
+        keys = self.key_words[item]
+        return not keys or sum(k in vocabulary for k in keys) >= MIN_KEYS * len(keys)
 
     def verify(self, item: int, doc: np.ndarray) -> tuple[int, float, float] | None:
         """(longest run, share edited, share of keys kept) if the document leaks the item."""
@@ -204,23 +249,26 @@ class ItemIndex:
             return run, share, kept_keys
         return None
 
-    def candidates(self, docs: list[np.ndarray]) -> set[tuple[int, int]]:
-        """(document, item) numbers whose windows agree in some table."""
-        out: set[tuple[int, int]] = set()
+    def candidates(self, docs: list[np.ndarray]) -> list[tuple[int, int]]:
+        """(document, item) numbers whose windows agree in some table, in order."""
         tape = _tape(docs)
+        bits, n = walk_bits(tape), len(self.ids)
         all_starts, all_owners = window_starts([len(d) for d in docs])
-        for lo in range(0, len(all_starts), _CHUNK):
+        met = [np.zeros(0, "int64")]
+        for lo in range(0, len(all_starts) if n else 0, _CHUNK):
             starts, owners = all_starts[lo : lo + _CHUNK], all_owners[lo : lo + _CHUNK]
-            for table, sig in signatures(tape, starts):
+            for table, sig in signatures(tape, starts, bits):
                 have, whose = self.tables[table]
-                first = np.searchsorted(have, sig, "left")
-                hit = np.flatnonzero((first < len(have)) & (have[np.minimum(first, len(have) - 1)] == sig)) if len(have) else np.zeros(0, int)
-                for w in hit:
-                    k = first[w]
-                    while k < len(have) and have[k] == sig[w]:
-                        out.add((int(owners[w]), int(whose[k])))
-                        k += 1
-        return out
+                maybe = np.flatnonzero(self.notes[table].take((sig >> np.uint64(64 - _NOTED)).astype("int64")))
+                if not len(maybe):
+                    continue
+                first = np.searchsorted(have, sig[maybe], "left")
+                held = np.searchsorted(have, sig[maybe], "right") - first
+                # every item of an agreeing signature
+                of = np.repeat(np.arange(len(maybe)), held)
+                item = whose[np.repeat(first, held) + np.arange(len(of)) - np.repeat(np.cumsum(held) - held, held)]
+                met.append(np.unique(owners[maybe][of] * n + item))
+        return [(int(x // n), int(x % n)) for x in np.unique(np.concatenate(met))]
 
 
 _FOUND = "item_id bigint, doc_id bigint, run int, edited double, keys_kept double"
@@ -234,8 +282,10 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
     blocks = max(1, -(-words // MAX_ITEM_WINDOWS))
     out = None
     for block in range(blocks):
+        # one block at a time is held and sent along; what it finds is written before the next is read
         rows = listed.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
         part = source.mapInPandas(_scan(ItemIndex([(r["item_id"], r["text"]) for r in rows])), _FOUND)
+        part = stage(part, "leaks").df if blocks > 1 else part
         out = part if out is None else out.unionByName(part)
     return out.groupBy("item_id", "doc_id").agg(F.max("run").alias("run"), F.min("edited").alias("edited"), F.max("keys_kept").alias("keys_kept"))
 
@@ -243,17 +293,20 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
 def _scan(index: ItemIndex):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            docs = [word_hashes(text_words(t)) for t in batch["text"]]
-            ids = batch["doc_id"].tolist()
-            rows, at = [], -1
-            for d, i in sorted(index.candidates(docs)):
+            # equal texts of a batch are scanned once
+            slots, texts = pd.factorize(batch["text"])
+            docs = [word_hashes(text_words(t)) for t in texts]
+            leaks: dict[int, list[tuple]] = {}
+            at = -1
+            for d, i in index.candidates(docs):
                 if d != at:
-                    at, vocabulary, runs = d, np.unique(docs[d]), run_hashes(docs[d])
+                    at, vocabulary, runs = d, set(docs[d].tolist()), set(run_hashes(docs[d]).tolist())
                 if not index.possible(i, vocabulary, runs):
                     continue
                 got = index.verify(i, docs[d])
                 if got:
-                    rows.append((index.ids[i], ids[d], *got))
+                    leaks.setdefault(d, []).append((index.ids[i], got))
+            rows = [(item, doc, *got) for doc, slot in zip(batch["doc_id"].tolist(), slots.tolist(), strict=True) for item, got in leaks.get(slot, ())]
             yield pd.DataFrame(rows, columns=["item_id", "doc_id", "run", "edited", "keys_kept"]).astype({"item_id": "int64", "doc_id": "int64", "run": "int32", "edited": "float64", "keys_kept": "float64"})
 
     return run

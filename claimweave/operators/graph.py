@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.operators.skew import lookup_join
-from claimweave.operators.staging import Staged, stage
+from claimweave.operators.staging import Staged, stage, tidy
 
 
 def undirected(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -65,6 +65,7 @@ def flatten_rounds(rounds: list[Staged]) -> DataFrame:
     return out
 
 
+@tidy
 def connected_components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
     """(node, component) for every node with an edge; component is its smallest node.
 

@@ -78,9 +78,9 @@ def keyword_parts(df: DataFrame, key: str, text: str, keywords: DataFrame) -> Da
 
     ``keywords`` (keyword, part) is a small vocabulary that every text is held against.
     """
-    folded = F.translate(F.lower(F.col(text)), "áàäâéèëêíìïîóòöôúùüûñç", "aaaaeeeeiiiioooouuuunc")
+    plain = lambda c: F.collate(F.col(c), "UNICODE_CI_AI")
     words = F.broadcast(keywords)
-    hit = df.where(F.col(text) != "").select(F.col(key), folded.alias("__t")).join(words, F.contains(F.col("__t"), F.col("keyword")))
+    hit = df.where(F.col(text) != "").select(F.col(key), F.col(text).alias("__t")).join(words, F.contains(plain("__t"), plain("keyword")))
     return hit.groupBy(key).agg(F.array_sort(F.collect_set("part")).alias("declared"))
 
 

@@ -19,7 +19,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.operators.staging import stage
+from claimweave.operators.staging import stage, tidy
 
 BLOCKS, WIDTH = 4, 16
 #: Distinct stored codes under one block value above which a bucket is keyed twice.
@@ -43,6 +43,7 @@ def _stored(codes: DataFrame) -> DataFrame:
     return codes.select("code", F.posexplode(F.array(*_blocks(F.col("code")))).alias("block", "value"))
 
 
+@tidy
 def hamming_pairs(left: DataFrame, right: DataFrame, radius: int, hot: int = HOT_BUCKET) -> DataFrame:
     """Distinct (left_code, right_code) within ``radius`` bits; both inputs are one bigint column ``code``."""
     local = radius // BLOCKS

@@ -5,8 +5,8 @@ from the hashes of its parts, so equal subtrees have equal identities wherever
 they occur.  Three tables come out:
 
 ``occurrences`` (doc_key, status, root_hash)
-    one row per record; status is ``ok``, ``null``, ``empty``, ``broken`` or
-    ``too_deep``, and root_hash is null unless ``ok``.
+    one row per record; status is ``ok``, ``null``, ``empty`` or ``broken``, and
+    root_hash is null unless ``ok``.  Documents may be nested to any depth.
 ``objects`` (hash, kind, scalars)
     one row per distinct object or array; ``scalars`` holds its own scalar
     fields as canonical JSON text.
@@ -35,35 +35,117 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.operators.staging import Staged, stage
+from claimweave.operators.skew import spread_join
+from claimweave.operators.staging import Staged, stage, tidy
 
-_EMIT = "doc_key string, status string, hash string, kind string, scalars string, field string, ordinal int, child_hash string, child_value string, child_type string, tags array<string>"
+_EMIT = "doc_key string, status string, hash string, kind string, scalars string, field string, ordinal int, child_hash string, child_value string, child_type string"
 
 
 def open_json(text: str | None):
     """(status, value) of a document; doubly encoded text is opened."""
     if text is None:
         return "null", None
-    text = text.lstrip("﻿")
+    text = text.lstrip("\ufeff")
     if not text.strip():
         return "empty", None
     try:
-        value = json.loads(text)
+        value = _loads(text)
         if isinstance(value, str):
             value = _opened(value)
-    except RecursionError:
-        return "too_deep", None
     except ValueError:
         return "broken", None
     return "ok", value
 
 
+_JSON_SPACE = " \t\n\r"
+
+
+def _loads(text: str):
+    """The value of a JSON text of any depth: the library's parser where its recursion reaches, else a stack."""
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return _loads_deep(text)
+
+
+def _loads_deep(text: str):
+    """Objects and arrays on a stack of their own; scalars, keys and their errors are the library's."""
+    at, n, scan = 0, len(text), json.JSONDecoder().scan_once
+    top: list = []
+    stack: list[tuple[object, str | None]] = [(top, None)]
+
+    def skip(i: int) -> int:
+        while i < n and text[i] in _JSON_SPACE:
+            i += 1
+        return i
+
+    def scalar(i: int):
+        try:
+            return scan(text, i)
+        except StopIteration as stop:
+            raise ValueError("no value") from stop
+
+    def key(i: int) -> tuple[str, int]:
+        if i >= n or text[i] != '"':
+            raise ValueError("no key")
+        name, i = scalar(i)
+        i = skip(i)
+        if i >= n or text[i] != ":":
+            raise ValueError("no colon")
+        return name, skip(i + 1)
+
+    name = None
+    at = skip(at)
+    while True:
+        # a value begins here
+        if at >= n:
+            raise ValueError("ends early")
+        if text[at] in "{[":
+            value: object = {} if text[at] == "{" else []
+            is_object = text[at] == "{"
+            at = skip(at + 1)
+            if at >= n:
+                raise ValueError("ends early")
+            if text[at] != ("}" if is_object else "]"):
+                stack.append((value, name))
+                name = None
+                if is_object:
+                    name, at = key(at)
+                continue
+            at += 1
+        else:
+            value, at = scalar(at)
+        # and is handed to what holds it, which may end with it
+        while True:
+            holder = stack[-1][0]
+            if isinstance(holder, dict):
+                holder[name] = value
+            else:
+                holder.append(value)
+            at = skip(at)
+            if len(stack) == 1:
+                if at < n:
+                    raise ValueError("more than one value")
+                return top[0]
+            if at >= n:
+                raise ValueError("ends early")
+            if text[at] == ",":
+                at = skip(at + 1)
+                if isinstance(holder, dict):
+                    name, at = key(at)
+                break
+            if text[at] != ("}" if isinstance(holder, dict) else "]"):
+                raise ValueError("not closed")
+            at += 1
+            value, name = stack.pop()
+
+
 def _opened(value):
     """A string that holds a complete JSON object or array, as that value; anything else as it is."""
     if isinstance(value, str) and value[:1] in "{[" and value[-1:] in "}]":
         try:
-            return json.loads(value)
-        except (ValueError, RecursionError):
+            return _loads(value)
+        except ValueError:
             return value
     return value
 
@@ -129,38 +211,26 @@ def merkle_rows(root) -> tuple[str, dict[str, tuple[str, str, list]]]:
     return done[id(root)], found
 
 
-def _emit(tags: tuple[str, ...]):
+def _emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in _EMIT.split(", ")]
-
-    def own_tags(found, child: str | None) -> list[str | None] | None:
-        """Scalar fields named in ``tags`` of a nested part, empty texts and nulls as none."""
-        if child is None or not tags:
-            return None
-        own = {f: text for f, _, _, text, kind in found[child][2] if f in tags and kind in ("string", "number") and text}
-        return [own.get(t) for t in tags] if found[child][0] == "object" else [None] * len(tags)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows, seen = [], set()
-            for key, text in zip(batch["doc_key"], batch["payload"], strict=True):
-                status, value = open_json(text)
-                if status != "ok":
-                    rows.append((key, status, None, "root", *[None] * 7))
+    for batch in batches:
+        rows, seen = [], set()
+        for key, text in zip(batch["doc_key"], batch["payload"], strict=True):
+            status, value = open_json(text)
+            if status != "ok":
+                rows.append((key, status, None, "root", *[None] * 6))
+                continue
+            root, found = merkle_rows(value)
+            rows.append((key, status, root, "root", *[None] * 6))
+            for identity, (kind, scalars, parts) in found.items():
+                if identity in seen:
                     continue
-                root, found = merkle_rows(value)
-                rows.append((key, status, root, "root", *[None] * 6, own_tags(found, root)))
-                for identity, (kind, scalars, parts) in found.items():
-                    if identity in seen:
-                        continue
-                    seen.add(identity)
-                    rows.append((None, None, identity, kind, scalars, *[None] * 5, own_tags(found, identity)))
-                    for field, n, child, text_value, child_type in parts:
-                        rows.append((None, None, identity, "part", None, field, n, child, text_value, child_type, own_tags(found, child)))
-            frame = pd.DataFrame(rows, columns=columns, dtype=object)
-            frame["ordinal"] = frame["ordinal"].astype("Int32")
-            yield frame
-
-    return run
+                seen.add(identity)
+                rows.append((None, None, identity, kind, scalars, *[None] * 5))
+                rows.extend((None, None, identity, "part", None, *part) for part in parts)
+        frame = pd.DataFrame(rows, columns=columns, dtype=object)
+        frame["ordinal"] = frame["ordinal"].astype("Int32")
+        yield frame
 
 
 class Shredded:
@@ -187,14 +257,10 @@ class Shredded:
         )
 
 
-def shred(df: DataFrame, key: str, payload: str, tags: tuple[str, ...] = ()) -> Shredded:
-    """Parse and shred ``payload``; ``key`` names the record (kept as text).
-
-    Scalar fields named in ``tags`` are carried along with the object that has
-    them (array ``tags``, in the same order), for walks that turn on them.
-    """
+def shred(df: DataFrame, key: str, payload: str) -> Shredded:
+    """Parse and shred ``payload``; ``key`` names the record (kept as text)."""
     source = df.select(F.col(key).cast("string").alias("doc_key"), F.col(payload).cast("string").alias("payload"))
-    return Shredded(stage(source.mapInPandas(_emit(tags), _EMIT), "shred"))
+    return Shredded(stage(source.mapInPandas(_emit, _EMIT), "shred"))
 
 
 #: How to walk from one role to the next: (role, field) -> role of the part.
@@ -213,32 +279,92 @@ EVALUATION_RULES = {
 #: Fields that name an evaluation and a damage.
 EVALUATION_TAGS = ("id_evaluacion", "damage_id")
 _LEAVES = ("supporting_images", "parts_lookup_missing", "input_hashes")
+_REACHED = {field for _, field in EVALUATION_RULES if field != "*"}
+_STEP = "kind string, parent_hash binary, step string, child_hash binary, child_value string, child_type string, is_evaluation boolean, id_evaluacion string, damage_id string"
 
 
-def evaluation_children(shredded: Shredded) -> DataFrame:
-    """(id_evaluacion, child, parent_key, child_key) of every evaluation, from tables shredded with ``EVALUATION_TAGS``.
+def reachable_parts(found: dict[str, tuple[str, str, list]]) -> Iterator[tuple[str, bool, list]]:
+    """(identity, whether a list of keys or damages, parts) of a document's objects, with just the parts that a walk by the rules can use.
 
-    An evaluation is any object with a text ``id_evaluacion``.  The walk goes
-    down the bridge level by level, one join per level of nesting, until no
-    part is left; wrappers such as ``meta`` keep the role of what holds them,
-    and another evaluation inside is walked on its own.  ``damages`` may be a
-    list, one damage, an object keyed by damage id, or any of these as text;
-    the other lists may also be a single value.  Nulls and empty strings are no
-    children.
+    Scalars count in lists of keys, nested parts where a rule's field lies in or
+    below them, or where damages may be listed under names of their own.
     """
-    rows = shredded.staged.df
-    id_of, damage_of = F.get("tags", F.lit(0)), F.get("tags", F.lit(1))
-    evaluations = rows.where(F.col("kind").isin("object", "array") & id_of.isNotNull()).select(id_of.alias("id_evaluacion"), F.col("hash").alias("parent_hash"), F.lit("evaluation").alias("role"), F.lit(None).cast("string").alias("damage"))
-    parts = rows.where("kind = 'part'").select(
-        F.col("hash").alias("parent_hash"), F.when(F.col("field") == "", "*").otherwise(F.col("field")).alias("step"), "child_hash", "child_value", "child_type", id_of.isNotNull().alias("is_evaluation"), damage_of.alias("damage_id")
-    )
-    steps = stage(parts.distinct(), "steps")
+    useful: dict[str, bool] = {}
+    keys, damages = set(), set()
+    for identity, (_, _, parts) in found.items():  # parts come before what holds them
+        useful[identity] = any(field in _REACHED or (child is not None and useful[child]) for field, _, child, _, _ in parts)
+    for _, (_, _, parts) in found.items():
+        keys.update(child for field, _, child, _, _ in parts if child is not None and field in _LEAVES)
+        damages.update(child for field, _, child, _, _ in parts if child is not None and field == "damages")
+    for marked in (keys, damages):
+        todo = list(marked)
+        while todo:
+            for _, _, child, _, kind in found[todo.pop()][2]:
+                if kind == "array" and child not in marked:
+                    marked.add(child)
+                    todo.append(child)
+    for identity, (_, _, parts) in found.items():
+        kept = [p for p in parts if (p[0] in _LEAVES or identity in keys if p[2] is None else p[0] in _REACHED or identity in damages or identity in keys or useful[p[2]])]
+        yield identity, identity in keys or identity in damages, kept
+
+
+def _steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = [c.split()[0] for c in _STEP.split(", ")]
+
+    def own(found, identity: str) -> tuple[str | None, str | None]:
+        kind, _, parts = found[identity]
+        said = {f: text for f, _, _, text, t in parts if f in EVALUATION_TAGS and t in ("string", "number") and text} if kind == "object" else {}
+        return said.get(EVALUATION_TAGS[0]), said.get(EVALUATION_TAGS[1])
+
+    for batch in batches:
+        rows, seen, texts = [], set(), set()
+        for text in batch["payload"]:
+            if text in texts:
+                continue
+            texts.add(text)
+            status, value = open_json(text)
+            if status != "ok":
+                continue
+            _, found = merkle_rows(value)
+            names = {identity: own(found, identity) for identity in found}
+            for identity, is_list, parts in reachable_parts(found):
+                if (identity, is_list) in seen:
+                    continue
+                seen.add((identity, is_list))
+                parent = bytes.fromhex(identity)
+                if names[identity][0] is not None:
+                    rows.append(("evaluation", parent, None, None, None, None, None, names[identity][0], None))
+                for field, _, child, value_text, child_type in parts:
+                    evaluation, damage = names[child] if child is not None else (None, None)
+                    rows.append(("part", parent, field or "*", bytes.fromhex(child) if child is not None else None, value_text, child_type, evaluation is not None, None, damage))
+        yield pd.DataFrame(rows, columns=columns, dtype=object).astype({"is_evaluation": "boolean"})
+
 
+@tidy
+def evaluation_children(df: DataFrame, payload: str) -> DataFrame:
+    """(id_evaluacion, child, parent_key, child_key) of every evaluation in a column of JSON texts.
+
+    An evaluation is any object with a text ``id_evaluacion``.  The walk goes
+    down the bridge of identical objects level by level, one join per level of
+    nesting, until no part is left; wrappers such as ``meta`` keep the role of
+    what holds them, and another evaluation inside is walked on its own.
+    ``damages`` may be a list, one damage, an object keyed by damage id, or any
+    of these as text; the other lists may also be a single value.  Nulls and
+    empty strings are no children.
+
+    Of the bridge only the parts that a rule can use are kept, each once; an
+    object that very many evaluations share is met in many places.
+    """
+    source = df.select(F.col(payload).cast("string").alias("payload"))
+    bridge = stage(source.mapInPandas(_steps, _STEP).distinct(), "bridge")
+    rows = bridge.df
+    evaluations = rows.where("kind = 'evaluation'").select("id_evaluacion", "parent_hash", F.lit("evaluation").alias("role"), F.lit(None).cast("string").alias("damage"))
+    steps = rows.where("kind = 'part'").select("parent_hash", "step", "child_hash", "child_value", "child_type", "is_evaluation", "damage_id")
     rule = F.create_map(*[F.lit(x) for (role, field), to in EVALUATION_RULES.items() for x in (f"{role}/{field}", to)])
     frontier = evaluations.distinct()
     found: list[Staged] = []
     while True:
-        down = frontier.join(steps.df, "parent_hash")
+        down = spread_join(frontier, steps, "parent_hash")
         said = F.try_element_at(rule, F.concat_ws("/", "role", "step"))
         nested = F.col("child_hash").isNotNull()
         in_damages = F.col("role") == "damages"
@@ -253,14 +379,15 @@ def evaluation_children(shredded: Shredded) -> DataFrame:
         role = F.when((role == "damages") & F.col("damage_id").isNotNull(), F.lit("damage")).otherwise(role)
         walked = down.where(~(nested & F.col("is_evaluation"))).withColumn("next", role).where("next is not null")
         walked = walked.withColumn("damage_key", F.when(F.col("next") == "damage", F.coalesce("damage_id", F.when(F.col("step") != "*", F.col("step")))).otherwise(F.col("damage")))
-        step = stage(walked.select("id_evaluacion", "child_hash", "child_value", "child_type", F.col("next").alias("role"), F.col("damage_key").alias("damage")).distinct(), "walk")
-        found.append(step)
-        frontier = step.df.where("child_hash is not null").select("id_evaluacion", F.col("child_hash").alias("parent_hash"), "role", "damage")
+        # a damage is known by its key from here on, a list of keys by its values
+        level = stage(walked.select("id_evaluacion", "child_hash", "child_value", "child_type", F.col("next").alias("role"), F.col("damage_key").alias("damage")).distinct(), "walk")
+        found.append(level)
+        frontier = level.df.where("child_hash is not null").select("id_evaluacion", F.col("child_hash").alias("parent_hash"), "role", "damage").distinct()
         if frontier.isEmpty():
             break
     out = None
-    for step in found:
-        t = step.df
+    for level in found:
+        t = level.df
         leaf = F.col("role").isin(*_LEAVES) & F.col("child_hash").isNull() & (F.col("child_type") != "null")
         damage = (F.col("role") == "damage") & F.col("child_hash").isNotNull()
         rows = t.where(leaf | damage).select(

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.operators.skew import lookup_join
-from claimweave.operators.staging import Staged, stage
+from claimweave.operators.staging import Staged, stage, tidy
 
 _COLUMNS = ("ref_table", "row_id", "field", "ref_value", "at", "kind", "depth")
 
@@ -66,6 +66,7 @@ def direct_orphans(tables: dict[str, DataFrame], fk: ForeignKey) -> DataFrame:
     )
 
 
+@tidy
 def orphan_cascade(tables: dict[str, DataFrame], keys: list[ForeignKey]) -> DataFrame:
     """Direct and inherited orphans: ref_table, row_id, field, ref_value, at, kind, depth.
 
@@ -91,8 +92,8 @@ def orphan_cascade(tables: dict[str, DataFrame], keys: list[ForeignKey]) -> Data
         for fk in passing:
             heads = frontier.where(F.col("ref_table") == fk.parent).select("ref_value")
             rows = (
-                _references(tables, fk)
-                .join(heads, "ref_value", "left_semi")
+                lookup_join(_references(tables, fk), heads.withColumn("__lost", F.lit(True)), "ref_value")
+                .where("__lost")
                 .select(F.lit(fk.child).alias("ref_table"), "row_id", F.lit(fk.field).alias("field"), "ref_value", "at", F.lit("inherited").alias("kind"), F.lit(depth).alias("depth"))
                 .distinct()
             )

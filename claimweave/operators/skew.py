@@ -36,6 +36,19 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, share: int = HEAVY_
     return light.join(right, key, "left").unionByName(hot.join(F.broadcast(few), key, "left"))
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str, share: int = HEAVY_SHARE, salts: int = 32) -> DataFrame:
+    """Inner join on ``key`` for a ``right`` with any number of rows a key.
+
+    Rows of the heavy keys of ``left`` are dealt out over ``salts`` places, and
+    the right rows of just those keys are copied to each; all others meet as usual.
+    """
+    heavy = F.broadcast(heavy_keys(left, key, share))
+    rest = [c for c in left.columns if c != key]
+    dealt = left.join(heavy, left[key] == heavy["__heavy"], "left").withColumn("__salt", F.when(F.col("__heavy").isNotNull(), F.pmod(F.xxhash64(*rest), F.lit(salts))).otherwise(F.lit(0)).cast("int")).drop("__heavy")
+    copied = right.join(heavy, right[key] == heavy["__heavy"], "left").withColumn("__salt", F.explode(F.when(F.col("__heavy").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("__heavy")
+    return dealt.join(copied, [key, "__salt"]).drop("__salt")
+
+
 def salted(key: Column, rows: Column, buckets: int) -> Column:
     """``key`` with a bucket drawn from the row's own identity, for two-step aggregation."""
     return F.struct(key.alias("key"), F.pmod(F.xxhash64(rows), F.lit(buckets)).cast("int").alias("salt"))

@@ -2,12 +2,17 @@
 
 Iterative operators write every round as Parquet below the folder that
 ``spark.checkpoint.dir`` names, so a lost executor costs a re-read and not a
-recomputation, and the next plan starts from a scan with known size.
+recomputation, and the next plan starts from a scan with known size.  Operators
+marked :func:`tidy` delete what they staged as soon as nothing of theirs reads it.
 """
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +35,9 @@ def stage_root(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local"):
             raise ValueError(f"{_SETTING} must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="claimweave-stage-")
+        folder = tempfile.mkdtemp(prefix="claimweave-stage-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        root = "file://" + folder
         spark.conf.set(_SETTING, root)
     return root.rstrip("/")
 
@@ -60,4 +67,57 @@ def stage(df: DataFrame, tag: str) -> Staged:
     spark = df.sparkSession
     path = f"{stage_root(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return Staged(spark, path, df.schema)
+    staged = Staged(spark, path, df.schema)
+    if _open():
+        _open()[-1].append(staged)
+    return staged
+
+
+_local = threading.local()
+
+
+def _open() -> list[list[Staged]]:
+    """What the tidy operators at work in this thread have staged, the innermost last."""
+    if not hasattr(_local, "scopes"):
+        _local.scopes = []
+    return _local.scopes
+
+
+def _frames(value) -> list[DataFrame]:
+    """DataFrames of a result: itself, or those of its parts."""
+    if isinstance(value, DataFrame):
+        return [value]
+    if isinstance(value, Staged):
+        return [value.df]
+    if isinstance(value, dict):
+        return [f for v in value.values() for f in _frames(v)]
+    if isinstance(value, (list, tuple)):
+        return [f for v in value for f in _frames(v)]
+    return _frames(vars(value)) if hasattr(value, "__dict__") else []
+
+
+def tidy(operator):
+    """Delete, when the operator returns, the tables it staged that its result does not read.
+
+    What the result reads is handed on to the tidy operator that called it, if
+    any; for the outermost one it stays until the caller clears the folder, as
+    the plan that reads it may run at any later time.
+    """
+
+    @functools.wraps(operator)
+    def run(*args, **kwargs):
+        scopes = _open()
+        scopes.append([])
+        try:
+            result = operator(*args, **kwargs)
+        finally:
+            mine = scopes.pop()
+        read = "\n".join(f for df in _frames(result) for f in df.inputFiles())
+        for staged in mine:
+            if staged.path.rsplit("/", 1)[1] not in read:
+                staged.drop()
+            elif scopes:
+                scopes[-1].append(staged)
+        return result
+
+    return run

@@ -325,7 +325,8 @@ def calibration_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.calibration_error(metrics.reliability_curve(_scored(spark, sf_dir)))
 
 
-@query(
+#: Isotonic regression by its max-min formula over the distinct confidences.
+ISOTONIC = (
     _SCORED.replace("select confidence,", "select claim_id, pos, confidence,", 1)
     + """, lv as (select confidence as x, sum(label) as y, count(*) as w from scored group by 1),
 fit as (select a.x, max(b.low) as v from lv a join (
@@ -333,6 +334,9 @@ fit as (select a.x, max(b.low) as v from lv a join (
     select f.x as start, g.x as stop, sum(k.y) / sum(k.w) as mean from lv f join lv g on f.x <= g.x join lv k on k.x between f.x and g.x group by 1, 2) m on m.start = s.x and m.stop >= t.x group by 1, 2) b on b.at = a.x group by 1)
 select d.claim_id, d.pos, round(f.v, 4) as confidence, d.confidence as confidence_raw from scored d join fit f on d.confidence = f.x"""
 )
+
+
+@query(ISOTONIC)
 def isotonic_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(_scored(spark, sf_dir), "scored").df
     return metrics.Calibrator("isotonic").fit(rows).transform(rows).select("claim_id", "pos", "confidence", "confidence_raw")

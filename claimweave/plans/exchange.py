@@ -19,6 +19,7 @@ from claimweave.operators import consolidate as con
 from claimweave.operators import localize, lookup, masks, metrics, quality, relabel, validate
 from claimweave.operators.staging import stage_root
 from claimweave.plans.adapter import WITH, claims, detections
+from claimweave.plans.claims import ISOTONIC
 from claimweave.plans.datasets import _BASE, _R, _annotations, _images
 from claimweave.session import read_table
 from claimweave.sinks import files as sinks
@@ -320,6 +321,26 @@ def audit_from_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("claim_id", "id_evaluacion", F.array_join("input_hashes", ",").alias("hashes"), "output_summary.lane", "output_summary.total_eur")
 
 
+@query(WITH + "select cast(claim_id as varchar) as claim_id, marca, anio, valor from claims")
+def claim_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of claims written as one document each and read back."""
+    c = claims(spark, sf_dir).select(F.col("claim_id").cast("string").alias("claim_id"), "marca", "anio", "valor")
+    path = _folder(spark, "metadata")
+    sinks.write_documents(c.select(F.to_json(F.struct(*c.columns)).alias("value")), path)
+    return sources.read_claim_metadata(spark, path, "claim_id string, marca string, anio int, valor double")
+
+
+@query(ISOTONIC)
+def calibrator_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calibrator fitted, saved, loaded and applied."""
+    from claimweave.plans.claims import _scored
+
+    rows = _scored(spark, sf_dir)
+    path = _folder(spark, "calibrator")
+    metrics.Calibrator("isotonic").fit(rows).save(path)
+    return metrics.Calibrator.load(path, "isotonic").transform(rows).select("claim_id", "pos", "confidence", "confidence_raw")
+
+
 # --- images and files
 
 

@@ -20,13 +20,18 @@ def _tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFram
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.evaluation_children(nested.shred(read_table(spark, sf_dir, "inference_raw"), "rec_id", "payload", nested.EVALUATION_TAGS))
+    return nested.evaluation_children(read_table(spark, sf_dir, "inference_raw"), "payload")
 
 
 def p3_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.shred(read_table(spark, sf_dir, "inference_raw"), "rec_id", "payload").occurrences
 
 
+def p3_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the payloads are: whole, null, empty or broken."""
+    return p3_occurrences(spark, sf_dir).groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.count("root_hash").alias("n_roots"))
+
+
 def p3_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.shred(read_table(spark, sf_dir, "inference_raw"), "rec_id", "payload").objects
 
@@ -35,16 +40,18 @@ def p3_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.shred(read_table(spark, sf_dir, "inference_raw"), "rec_id", "payload").bridge
 
 
+def _cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _tables(spark, sf_dir, "coco_annotations", "coco_images", "coco_categories", "split_map", "leakage_audit")
+    return orphans.orphan_cascade(tables, [BUILD_OF_IMAGE, IMAGE_OF_ANNOTATION, CATEGORY_OF_ANNOTATION, IMAGE_OF_ASSIGNMENT])
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _tables(spark, sf_dir, "coco_annotations", "coco_images", "coco_categories", "split_map")
-    found = orphans.orphan_cascade(tables, [IMAGE_OF_ANNOTATION, CATEGORY_OF_ANNOTATION, IMAGE_OF_ASSIGNMENT])
-    return found.where("kind = 'direct'").select("ref_table", "row_id", "field").distinct()
+    """Of the cascade over images, annotations and assignments, what lacks a target of its own; what is lost with its image is in the report."""
+    return _cascade(spark, sf_dir).where("kind = 'direct' and ref_table <> 'coco_images'").select("ref_table", "row_id", "field").distinct()
 
 
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _tables(spark, sf_dir, "coco_annotations", "coco_images", "coco_categories", "split_map", "leakage_audit")
-    found = orphans.orphan_cascade(tables, [BUILD_OF_IMAGE, IMAGE_OF_ANNOTATION, CATEGORY_OF_ANNOTATION, IMAGE_OF_ASSIGNMENT])
-    return orphans.orphan_report(found).select(
+    return orphans.orphan_report(_cascade(spark, sf_dir)).select(
         "ref_table", "field", "month", "kind", F.col("n_references").cast("bigint"), F.col("n_rows").cast("bigint"), F.col("n_targets").cast("bigint")
     )
 
@@ -52,6 +59,7 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_occurrences": p3_occurrences,
+    "p3_statuses": p3_statuses,
     "p3_objects": p3_objects,
     "p3_bridge": p3_bridge,
     "p5_found": p5_found,
@@ -74,6 +82,9 @@ direct as (select distinct ref_table, row_id, field, ref_value, seen_at from ref
 """
 
 ORACLES = {
+    "p3_statuses": """
+with s as (select case when payload is null then 'null' when trim(ltrim(payload, chr(65279)), chr(32) || chr(9) || chr(10) || chr(13)) = '' then 'empty' when json_valid(ltrim(payload, chr(65279))) then 'ok' else 'broken' end as status from inference_raw)
+select status, count(*) as n, case when status = 'ok' then count(*) else 0 end as n_roots from s group by 1""",
     "p5_found": _TARGETS + "select distinct ref_table, row_id, field from direct",
     "p5_report": _TARGETS.rstrip()
     + """,

@@ -286,6 +286,11 @@ def outline_kinds(annotations: DataFrame) -> DataFrame:
     return annotations.groupBy("path").agg(F.count_if(polygons).alias("n_polygons"), F.count_if("is_rle").alias("n_run_length"), F.count_if(~polygons & ~F.col("is_rle")).alias("n_without"))
 
 
+def read_claim_metadata(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Metadata documents of claims, one a line; a broken one gives nulls, and fields outside of the schema are left out."""
+    return spark.read.schema(schema).json(path)
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(path, value) of a folder of JSON documents, broken ones included, for validation."""
     return whole_files(spark, path).select("path", "value")

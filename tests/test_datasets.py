@@ -379,6 +379,103 @@ def test_gaps_of_all_detections_hold_against_a_count(spark, sf_dir):
     assert rows(datasets.coverage_gaps(spark, sf_dir)) == {(*c, "missing") for c in every - seen} | {(*c, "unknown") for c in seen - every}
 
 
+def flooded(mask):
+    """The largest 4-connected region by filling pixel by pixel, the first in reading order among equals."""
+    seen, best = set(), []
+    for start in zip(*(v.tolist() for v in np.nonzero(mask)), strict=True):
+        if start in seen:
+            continue
+        region, todo = [], [start]
+        seen.add(start)
+        while todo:
+            y, x = todo.pop()
+            region.append((y, x))
+            for p in ((y - 1, x), (y + 1, x), (y, x - 1), (y, x + 1)):
+                if 0 <= p[0] < mask.shape[0] and 0 <= p[1] < mask.shape[1] and mask[p] and p not in seen:
+                    seen.add(p)
+                    todo.append(p)
+        if len(region) > len(best):
+            best = region
+    rows = {}
+    for y, x in best:
+        rows.setdefault(y, []).append(x)
+    ys = sorted(rows)
+    return [float(v) for p in [(min(rows[y]), y) for y in ys] + [(max(rows[y]), y) for y in reversed(ys)] for v in p] or None
+
+
+def test_outlines_against_a_flood_fill():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        mask = rng.random((rng.integers(1, 12), rng.integers(1, 12))) < rng.choice([0.2, 0.5, 0.7])
+        assert sources._outline(mask) == flooded(mask)
+
+
+def test_masks_and_centre_lines(spark):
+    from claimweave.operators import masks
+
+    assert masks.box_mask([1.4, 0.6, 3.0, 99.0], 4, 5).sum() == 2 * 3
+    assert masks.box_mask(None, 4, 5).sum() == masks.box_mask([3, 3, 2, 2], 4, 5).sum() == 0
+    assert masks.polygon_mask([1.0, 1.0, 4.0, 1.0, 4.0, 3.0, 1.0, 3.0], 10, 10).sum() == 12
+    assert masks.polygon_mask([0.0, 0.0, 4.0, 4.0], 10, 10).sum() == masks.polygon_mask(None, 10, 10).sum() == 0
+    triangle = masks.polygon_mask([0.0, 0.0, 8.0, 0.0, 0.0, 8.0], 9, 9)
+    assert triangle.sum() == 45 and triangle[0].all() and not triangle[8, 1:].any()
+    assert masks.line_points(np.zeros((3, 3), bool)) == []
+    thick = np.zeros((9, 30), bool)
+    thick[2:7, 2:28] = True
+    points = masks.line_points(thick)
+    assert len(points) == 5 and all(y == 4 for _, y in points)
+
+
+def test_zone_by_overlap(spark):
+    from claimweave.operators import localize
+
+    damages = spark.createDataFrame([(1, 7, [0.0, 0.0, 10.0, 10.0]), (2, 7, [90.0, 90.0, 95.0, 95.0]), (3, 8, [0.0, 0.0, 0.0, 0.0]), (4, 9, None)], "id int, image int, box array<double>")
+    parts = spark.createDataFrame([(7, "hood", "front", 0, [0.0, 0.0, 10.0, 10.0]), (7, "door", "front_left", 1, [0.0, 0.0, 8.0, 10.0]), (7, "wheel", None, 2, [0.0, 0.0, 10.0, 10.0]), (8, "hood", "front", 0, [0.0, 0.0, 9.0, 9.0])], "image int, part string, zone string, ord int, part_box array<double>")
+    assert rows(localize.best_zone(damages, parts, "image", "id")) == {(1, "door", "front_left", 0.8, 0.8)}
+    assert localize.best_zone(damages, parts.limit(0), "image", "id").count() == 0
+
+
+def test_average_precision_by_hand(spark):
+    from claimweave.operators import metrics
+
+    rows_ = [("a", 0.9, True), ("a", 0.8, False), ("a", 0.7, True), ("a", None, True), ("b", 0.5, False)]
+    df = spark.createDataFrame(rows_, "label string, score double, hit boolean")
+    truths = spark.createDataFrame([("a", 4), ("b", 1), ("c", 2), ("d", 0)], "label string, n_true bigint")
+    assert rows(metrics.average_precision(df, truths)) == {("a", round((1 + 2 / 3) / 4, 4), 4), ("b", 0.0, 1), ("c", 0.0, 2)}
+
+
+def test_pages_and_packages(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0.2, "a<b"), (2, 0.9, "c")], "id int, score double, name string")
+    page = sinks.review_page(df, "score", 1)
+    assert "a&lt;b" in page and "low" in page and ">c<" not in page
+    assert sinks.metrics_page(df, df, df, df).count("<h2>") == 4
+    assert sinks.spot_check_page(df, "name").count("<table") == 2 and "Damages" in sinks.appraisal_page(df.limit(1), df)
+    with zipfile.ZipFile(tmp_path / "e.zip", "w") as z:
+        z.writestr("data/a.jpg", b"x")
+        z.writestr("z.json", "{}")
+    kind, path = sources.open_container(str(tmp_path / "e.zip"), str(tmp_path / "o"))
+    assert kind == "json" and (tmp_path / "o" / "data" / "a.jpg").read_bytes() == b"x"
+
+
+def test_every_yaml_file_counts(spark, tmp_path):
+    for i in range(4):
+        (tmp_path / f"f{i}.yaml").write_text(f"top:\n  k{i}: {i}\n")
+    assert {(r["key"], r["value"]) for r in sources.read_yaml_rows(spark, str(tmp_path), "top").collect()} == {(f"k{i}", str(i)) for i in range(4)}
+
+
+def test_staged_tables_are_deleted_when_nothing_reads_them(spark, tmp_path):
+    from pathlib import Path
+
+    from claimweave.operators.staging import stage_root
+
+    before = set(Path(stage_root(spark).removeprefix("file://")).iterdir())
+    df = spark.createDataFrame([(i, i * 3 % 7) for i in range(50)], "id bigint, code bigint")
+    out = neardup.near_pairs(df, "id", "code", 1)
+    left = set(Path(stage_root(spark).removeprefix("file://")).iterdir()) - before
+    n = out.count()
+    assert n > 0 and len(left) <= 4  # codes, blocks, probes and what is crowded: read by the plan that is returned
+
+
 # --- contracts
 
 SCHEMA = {

@@ -18,7 +18,7 @@ EVAL = {"id_evaluacion": "E1", "damages": [DAMAGE], "estimacion": {"parts_lookup
 
 def children(spark, *payloads):
     df = spark.createDataFrame([(i, p) for i, p in enumerate(payloads)], "rec bigint, payload string")
-    return rows(nested.evaluation_children(nested.shred(df, "rec", "payload", nested.EVALUATION_TAGS)))
+    return rows(nested.evaluation_children(df, "payload"))
 
 
 WHOLE = {("E1", "damages", "E1", "C1"), ("E1", "supporting_images", "C1", "a"), ("E1", "supporting_images", "C1", "b"), ("E1", "parts_lookup_missing", "E1", "hood"), ("E1", "input_hashes", "E1", "h1")}
@@ -63,15 +63,32 @@ def test_statuses_and_identities(spark):
 def test_deep_nesting_and_long_text(spark):
     deep = "[" * 400 + '{"id_evaluacion": "D", "damages": [{"damage_id": "C9"}]}' + "]" * 400
     assert children(spark, deep) == {("D", "damages", "D", "C9")}
+    # beyond what the library's parser reaches
+    deeper = '{"a": ' * 60_000 + '{"id_evaluacion": "E", "damages": [{"damage_id": "C7"}]}' + "}" * 60_000
+    assert nested.open_json(deeper)[0] == "ok" and nested.open_json(deeper[:-1])[0] == "broken"
+    s = nested.shred(spark.createDataFrame([(1, deeper)], "rec int, payload string"), "rec", "payload")
+    assert s.occurrences.first()["status"] == "ok" and s.objects.count() == 60_003
     long = json.dumps({"id_evaluacion": "L" * 100_000, "damages": [{"damage_id": "C1"}]})
     assert {r[3] for r in children(spark, long)} == {"C1"}
 
 
+def test_deep_parser_agrees_with_the_library():
+    texts = ['{"a": [1, -2.5e3, "x\\"y", null, true], "b": {}, "c": [], "d": {"e": [[], [{}]]}}', "[]", " [1 , 2 ] ", '{"a": 1, "a": 2}', "[1,]", "[1 2]", '{"a" 1}', '{"a":}', "[", '{"a": 1', "[1]]", "1", '"x"', "", "{,}", "[,1]", '{"a": 1,}', "nul", "[NaN]"]
+    for text in texts:
+        try:
+            want = json.loads(text)
+        except ValueError:
+            with pytest.raises(ValueError):
+                nested._loads_deep(text)
+        else:
+            assert repr(nested._loads_deep(text)) == repr(want)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "rec bigint, payload string, doc_key string")
-    s = nested.shred(df, "rec", "payload", nested.EVALUATION_TAGS)
+    s = nested.shred(df, "rec", "payload")
     assert s.occurrences.count() == s.objects.count() == s.bridge.count() == 0
-    assert nested.evaluation_children(s).count() == 0
+    assert nested.evaluation_children(df, "payload").count() == 0
 
 
 def test_nested_evaluations_keep_their_own_children(spark):

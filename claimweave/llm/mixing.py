@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimweave.operators.staging import stage
+from claimweave.operators.staging import stage, tidy
 
 BLOCK_TOKENS = 1024
 #: Blocks a shard holds about, and the most shards there can be.
@@ -138,6 +138,7 @@ def _listed(weights: DataFrame) -> dict[str, tuple[float, int]]:
     return {r["source"]: (max(0.0, r["target_share"] or 0.0), max(1, r["max_repeats"] or 1)) for r in rows}
 
 
+@tidy
 def mix(documents: DataFrame, weights: DataFrame, seed: int = 42, total_tokens: int | None = None, block_tokens: int = BLOCK_TOKENS, tokenizer: str | None = None) -> Mixture:
     """Mix ``documents`` (doc_id, source, text) to ``weights`` (source, target_share, max_repeats)."""
     spark = documents.sparkSession

@@ -15,9 +15,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.operators.neardup import HOT_BUCKET, hamming_pairs
-from claimweave.operators.staging import stage
+from claimweave.operators.staging import stage, tidy
 
 
+@tidy
+def held_out_overlaps(train: DataFrame, held_out: DataFrame, radius: int, hot: int = HOT_BUCKET) -> DataFrame:
+    """Distinct (held_out_id, how) of held-out records that train has as well, without naming the partners.
+
+    Hashes, shots and codes meet as distinct values, so a value that very many
+    records share costs as much as any other.
+    """
+    t, h = stage(train, "train").df, stage(held_out, "held-out").df
+    how = lambda df, name: df.select(F.col("id").alias("held_out_id"), F.lit(name).alias("how"))
+    shot = ["vehicle", "shot"]
+    codes = hamming_pairs(t.select("code"), h.select("code"), radius, hot).select(F.col("right_code").alias("code")).distinct()
+    return (
+        how(h.join(t.select("id").distinct(), "id", "left_semi"), "itself")
+        .unionByName(how(h.join(t.select("content_hash").distinct(), "content_hash", "left_semi"), "hash"))
+        .unionByName(how(h.join(t.select(*shot).distinct(), shot, "left_semi"), "shot"))
+        .unionByName(how(h.join(codes, "code", "left_semi"), "code"))
+        .distinct()
+    )
+
+
+@tidy
 def cross_pairs(train: DataFrame, held_out: DataFrame, radius: int, hot: int = HOT_BUCKET) -> DataFrame:
     """Distinct (train_id, held_out_id, how) of records that are the same or nearly the same.
 

@@ -195,32 +195,33 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return known.where("split = 'train'"), known.where("split <> 'train'")
 
 
-def _cross(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    train, held = _sides(spark, sf_dir)
-    columns = ["id", "content_hash", "code", "vehicle", "shot"]
-    return overlap.cross_pairs(train.select(*columns).distinct(), held.select(*columns).distinct(), RADIUS), train, held
+_SIGNS = ("id", "content_hash", "code", "vehicle", "shot")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs, _, _ = _cross(spark, sf_dir)
+    train, held = (side.select(*_SIGNS).distinct() for side in _sides(spark, sf_dir))
+    pairs = overlap.cross_pairs(train, held, RADIUS)
     return pairs.select(F.least("train_id", "held_out_id").alias("image_a"), F.greatest("train_id", "held_out_id").alias("image_b")).distinct()
 
 
+def _overlapping(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    train, held = _sides(spark, sf_dir)
+    found = overlap.held_out_overlaps(train.select(*_SIGNS).distinct(), held.select(*_SIGNS).distinct(), RADIUS)
+    return found.withColumnRenamed("held_out_id", "id"), held
+
+
 def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out images that train has as well, per split, source and way."""
-    pairs, _, held = _cross(spark, sf_dir)
-    return (
-        pairs.select(F.col("held_out_id").alias("id"), "how").distinct().join(held.select("id", "split", "source").distinct(), "id")
-        .groupBy("split", "source", "how").agg(F.countDistinct("id").alias("n_images"))
-    )
+    found, held = _overlapping(spark, sf_dir)
+    return found.join(held.select("id", "split", "source").distinct(), "id").groupBy("split", "source", "how").agg(F.countDistinct("id").alias("n_images"))
 
 
 def p6_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups across splits found per build beside what its audit claims."""
-    pairs, _, held = _cross(spark, sf_dir)
-    found = pairs.select(F.col("held_out_id").alias("id")).distinct().join(held.select("id", "build_id").distinct(), "id").groupBy("build_id").agg(F.countDistinct("id").alias("n_found"))
+    found, held = _overlapping(spark, sf_dir)
+    counts = found.select("id").distinct().join(held.select("id", "build_id").distinct(), "id").groupBy("build_id").agg(F.countDistinct("id").alias("n_found"))
     audit = read_table(spark, sf_dir, "leakage_audit").select("build_id", "cross_split_groups")
-    return audit.join(found, "build_id", "left").select("build_id", "cross_split_groups", F.coalesce("n_found", F.lit(0)).alias("n_found"))
+    return audit.join(counts, "build_id", "left").select("build_id", "cross_split_groups", F.coalesce("n_found", F.lit(0)).alias("n_found"))
 
 
 # --- 7: pairwise verdicts to groups
@@ -336,6 +337,27 @@ QUERIES = {
 _VEHICLE = r"""regexp_extract(regexp_extract(lower(file_name), '([^/]*)$', 1), '(?:^|[^\p{L}])(?:automovil|automóvil|vehiculo|vehículo|vehicle|veiculo|veículo|viatura|coches|coche|carro|cars|auto|car|veh)[^\p{L}\p{N}]*0*([0-9]+)', 1)"""
 _SHOT = r"""regexp_extract(regexp_extract(lower(file_name), '([^/]*)$', 1), '(?:^|[^\p{L}])(?:automovil|automóvil|vehiculo|vehículo|vehicle|veiculo|veículo|viatura|coches|coche|carro|cars|auto|car|veh)[^\p{L}\p{N}]*[0-9]+[^\p{L}\p{N}]+(?:(?:foto|photo|fotografia|img|image|imagen|imagem|pic|shot|toma|vista|view)[^\p{L}\p{N}]*)?0*([0-9]+)', 1)"""
 
+_GROUPS = """
+with recursive edges as (
+  select distinct id_a as a, id_b as b from match_pairs where id_a is not null and id_b is not null and id_a <> id_b and lower(trim(verdict)) = 'same'
+  union select distinct id_b, id_a from match_pairs where id_a is not null and id_b is not null and id_a <> id_b and lower(trim(verdict)) = 'same'
+),
+reach as (select a as id, a as seen from edges union select r.id, e.b from reach r join edges e on r.seen = e.a)"""
+_SIDES = f"""
+with label as (
+  select distinct image_id as id, case lower(trim(split)) when 'train' then 'train' when 'test' then 'test' else 'val' end as split from split_map
+  where image_id is not null and lower(trim(split)) in ('train', 'val', 'valid', 'validation', 'test')
+),
+images as (select distinct id, image_hash, dhash, source, build_id, {_VEHICLE} as vehicle, {_SHOT} as shot from coco_images where id is not null),
+t as (select i.*, l.split from images i join label l on l.id = i.id and l.split = 'train'),
+h as (select i.*, l.split from images i join label l on l.id = i.id and l.split <> 'train')"""
+_WAYS = f"""ways as (
+  select id, 'itself' as how from h where id in (select id from t)
+  union select id, 'hash' from h where image_hash in (select image_hash from t)
+  union select h.id, 'shot' from h join t on t.vehicle = h.vehicle and t.shot = h.shot where h.vehicle <> '' and h.shot <> ''
+  union select h.id, 'code' from (select distinct id, dhash from h where dhash is not null) h join (select distinct dhash from t where dhash is not null) t on bit_count(xor(t.dhash, h.dhash)) <= {RADIUS}
+)"""
+
 _MEASURED = """
 with firsts as (
   select record_id, replace(lower(trim(lane)), 'á', 'a') as lane, cast(date_trunc('month', evaluated_at) as date) as month, estimated_eur, processing_time_ms
@@ -373,21 +395,8 @@ links as (
 edges as (select id as a, other as b from links where id <> other union select other, id from links where id <> other),
 reach as (select a as id, a as seen from edges union select r.id, e.b from reach r join edges e on r.seen = e.a)
 select id as image_id, min(seen) as group_id from reach group by id""",
-    "p7_found": """
-with recursive edges as (
-  select distinct id_a as a, id_b as b from match_pairs where id_a is not null and id_b is not null and id_a <> id_b and lower(trim(verdict)) = 'same'
-  union select distinct id_b, id_a from match_pairs where id_a is not null and id_b is not null and id_a <> id_b and lower(trim(verdict)) = 'same'
-),
-reach as (select a as id, a as seen from edges union select r.id, e.b from reach r join edges e on r.seen = e.a)
-select id, min(seen) as group_id from reach group by id""",
-    "p6_found": f"""
-with label as (
-  select distinct image_id as id, case when lower(trim(split)) = 'train' then 'train' else 'held' end as side from split_map
-  where image_id is not null and lower(trim(split)) in ('train', 'val', 'valid', 'validation', 'test')
-),
-images as (select distinct id, image_hash, dhash, {_VEHICLE} as vehicle, {_SHOT} as shot from coco_images where id is not null),
-t as (select i.* from images i join label l on l.id = i.id and l.side = 'train'),
-h as (select i.* from images i join label l on l.id = i.id and l.side = 'held'),
+    "p7_found": _GROUPS + " select id, min(seen) as group_id from reach group by id",
+    "p6_found": f"""{_SIDES},
 pairs as (
   select t.id as a, h.id as b from t join h on t.id = h.id
   union select t.id, h.id from t join h on t.image_hash = h.image_hash
@@ -395,4 +404,14 @@ pairs as (
   union select t.id, h.id from (select id, dhash from t where dhash is not null) t, (select id, dhash from h where dhash is not null) h where bit_count(xor(t.dhash, h.dhash)) <= {RADIUS}
 )
 select distinct least(a, b) as image_a, greatest(a, b) as image_b from pairs""",
+    "p6_report": f"""{_SIDES}, {_WAYS}
+select h.split, h.source, w.how, count(distinct h.id) as n_images from h join ways w on h.id = w.id group by all""",
+    "p6_audit": f"""{_SIDES}, {_WAYS},
+found as (select h.build_id, count(distinct h.id) as n_found from h join ways w on h.id = w.id group by 1)
+select a.build_id, a.cross_split_groups, coalesce(f.n_found, 0) as n_found from leakage_audit a left join found f on a.build_id = f.build_id""",
+    "p7_audit": _GROUPS
+    + """, grouped as (select id, min(seen) as group_id from reach group by id),
+images as (select distinct id, build_id from coco_images where id is not null),
+found as (select i.build_id, count(distinct i.id) as n_images_found, count(distinct coalesce(g.group_id, i.id)) as n_groups_found from images i left join grouped g on i.id = g.id group by 1)
+select a.build_id, a.n_images, a.n_groups, coalesce(f.n_images_found, 0) as n_images_found, coalesce(f.n_groups_found, 0) as n_groups_found from leakage_audit a left join found f on a.build_id = f.build_id""",
 }

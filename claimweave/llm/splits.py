@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from claimweave.operators.graph import connected_components
 from claimweave.operators.skew import lookup_join
-from claimweave.operators.staging import stage
+from claimweave.operators.staging import stage, tidy
 
 QUARANTINE = "quarantine"
 #: A component above this share of the batch is placed by itself.
@@ -103,6 +103,7 @@ def _hang_together(links: DataFrame, state: SplitState | None) -> tuple[DataFram
     return nodes, connected_components(edges, "node", "label")
 
 
+@tidy
 def group_batch(links: DataFrame) -> DataFrame:
     """(record_id, component) of the records of a first batch that hang together with another, without placing them."""
     links = stage(links, "links").df
@@ -140,6 +141,7 @@ def _fill(fresh: DataFrame, ratios: dict[str, float], have: dict[str, int]) -> D
     return named.join(F.broadcast(by_name), "name", "left").join(F.broadcast(by_bucket), "bucket", "left").select("component", F.coalesce("split_large", "split_small").alias("split"))
 
 
+@tidy
 def assign_batch(links: DataFrame, state: SplitState | None, ratios: dict[str, float]) -> tuple[DataFrame, SplitState]:
     """Assign one batch of (record_id, entity) rows; returns (record_id, component, split) and the new state.  ``state`` is None for a first batch."""
     links = stage(links, "links").df

@@ -294,8 +294,10 @@ def test_prefix_filter_meets_all_that_hold_enough(spark):
     data += [(100 + i, truncation._SEP.join([*t.split(truncation._SEP)[: 8 + i % 9], "x"])) for i, t in data[:40]]
     df = spark.createDataFrame(data, "key bigint, tokens string")
     met = {tuple(r) for r in truncation._crowded_pairs(df, df.select("key")).collect()}
-    texts = {k: truncation.Written(t) for k, t in data}
-    hold = {(a, b) for a in texts for b in texts if a != b and len(texts[a].asked) and len(np.intersect1d(texts[a].asked, texts[b].shingles)) >= 0.8 * len(texts[a].asked)}
+    texts = {k: truncation.asked_and_held(t) for k, t in data}
+    hold = {(a, b) for a in texts for b in texts if a != b and len(texts[a][0]) and len(np.intersect1d(texts[a][0], texts[b][1])) >= 0.8 * len(texts[a][0])}
+    written = {k: truncation.Written(t) for k, t in data}
+    assert hold == {(a, b) for a in texts for b in texts if a != b and written[a].asked and written[b].holds(written[a].asked)}
     assert {(100 + i, i) for i in range(40)} <= hold <= met
 
 

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -161,13 +162,16 @@ def _scalar(value) -> tuple[str | None, str]:
         return ("true" if value else "false"), "boolean"
     if isinstance(value, str):
         return value, "string"
-    return json.dumps(value), "number"
+    if type(value) is int:
+        return str(value), "number"
+    return (repr(value) if math.isfinite(value) else json.dumps(value)), "number"
 
 
-def merkle_rows(root) -> tuple[str, dict[str, tuple[str, str, list]]]:
+def merkle_rows(root, with_scalars: bool = True) -> tuple[str, dict[str, tuple[str, str, list]]]:
     """Identity of ``root`` and, by identity, (kind, scalars, parts) of each distinct object or array.
 
     An explicit stack walks children before parents, so depth costs no recursion.
+    The canonical form is the written form of the parts in order of their fields.
     """
     found: dict[str, tuple[str, str, list]] = {}
     done: dict[int, str] = {}
@@ -203,10 +207,10 @@ def merkle_rows(root) -> tuple[str, dict[str, tuple[str, str, list]]]:
                 canon.append((field, kind, text))
                 if is_object:
                     own[key] = value
-        identity = _digest(json.dumps([is_object, canon], ensure_ascii=False))
+        identity = _digest(repr((is_object, canon)))
         done[id(node)] = identity
         if identity not in found:
-            scalars = json.dumps(own, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+            scalars = json.dumps(own, ensure_ascii=False, sort_keys=True, separators=(",", ":")) if with_scalars else ""
             found[identity] = ("object" if is_object else "array", scalars, parts)
     return done[id(root)], found
 
@@ -325,7 +329,7 @@ def _steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             status, value = open_json(text)
             if status != "ok":
                 continue
-            _, found = merkle_rows(value)
+            _, found = merkle_rows(value, with_scalars=False)
             names = {identity: own(found, identity) for identity in found}
             for identity, is_list, parts in reachable_parts(found):
                 if (identity, is_list) in seen:

@@ -121,7 +121,8 @@ class Lexicon:
         self.brands: dict[str, str] = {}
         self.models: dict[str, set[str]] = {}
         self.frequency = frequency or {}
-        for entry_id, brand, alias, model in entries:
+        # an alias of several brands goes to the one with the smallest id, in whatever order the entries come
+        for entry_id, brand, alias, model in sorted(entries, key=lambda e: (e[0], *(x or "" for x in e[1:]))):
             b, m = squeezed(brand), squeezed(model)
             if not b or not m:
                 continue
@@ -286,11 +287,13 @@ def resolve_pairs(df: DataFrame, lexicon: Lexicon, brand: str, model: str) -> Da
     return df.mapInPandas(run, f"{out}, {_OUT}")
 
 
-def resolve_by_join(df: DataFrame, catalogue: DataFrame, key: str, brand: str, model: str, columns: tuple[str, str, str, str]) -> DataFrame:
+def resolve_by_join(df: DataFrame, catalogue: DataFrame, key: str, brand: str, model: str, columns: tuple[str, str, str, str], typed_by: DataFrame | None = None) -> DataFrame:
     """(key, entry_id, cost, reason) for a list of any length: dictionary and spans meet in a join on deletions.
 
-    ``columns`` names id, brand, alias and model in ``catalogue``.  Only the
-    entries near a row's spans reach the task that ranks them.
+    ``columns`` names id, brand, alias and model in ``catalogue``.  Entries are
+    counted in ``typed_by`` (same brand and model columns) as
+    :func:`load_lexicon` counts them, without it in ``df``.  Only the entries
+    near a row's spans reach the task that ranks them.
     """
     e, b, a, m = columns
     entries = catalogue.select(F.col(e).cast("bigint").alias("entry_id"), F.col(b).alias("b"), F.col(a).alias("a"), F.col(m).alias("m")).where("entry_id is not null")
@@ -300,7 +303,11 @@ def resolve_by_join(df: DataFrame, catalogue: DataFrame, key: str, brand: str, m
     counted = stage(claims.groupBy("k", "tb", "tm").agg(F.count(F.lit(1)).alias("n")), "typed-pairs").df
     typed = counted.select("k", "tb", "tm")
     # how often each entry is typed exactly, as load_lexicon counts it
-    pairs = counted.where("tb is not null and tm is not null").select(F.col("tb").alias("b"), F.col("tm").alias("m"), "n")
+    if typed_by is None:
+        pairs = counted.select(F.col("tb").alias("b"), F.col("tm").alias("m"), "n")
+    else:
+        pairs = typed_by.groupBy(F.col(brand).cast("string").alias("b"), F.col(model).cast("string").alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = pairs.where("b is not null and m is not null")
     exact = entries.join(pairs, ["b", "m"]).groupBy("entry_id").agg(F.sum("n").alias("n"))
     entries = entries.join(exact, "entry_id", "left").select("entry_id", "b", "a", "m", F.coalesce("n", F.lit(0)).alias("n"))
 

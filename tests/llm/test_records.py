@@ -12,6 +12,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from claimweave.llm import canonical, groups, overlap, quantiles, splits
+from claimweave.llm import plans as llm_plans
 from claimweave.operators.neardup import hamming_pairs
 
 # --- 1: canonical list
@@ -53,6 +54,20 @@ def test_ties_and_long_terms_agree_both_ways(spark):
     assert {(c, e) for c, e, _ in by_join} == {("c0", 2), ("c1", 2), ("c2", 2), ("c3", 2), ("c4", 1), ("c5", 3)}
 
 
+def test_claims_resolve_alike_below_and_above_the_switch(spark, tmp_path, monkeypatch):
+    # the entry typed exactly more often wins the tie of c0; an alias of two brands goes to the smaller id
+    catalogue = [(4, "Wexola", "WX", "Zumparto"), (3, "Tiromax", "WX", "Zumpartel"), (2, "Bravixo", None, "Tarsole"), (1, "Bravixo", None, "Tarsola")]
+    spark.createDataFrame(catalogue, "catalog_id bigint, marca string, marca_alias string, modelo string").coalesce(1).write.parquet(str(tmp_path / "vehicle_catalog.parquet"))
+    typed = [("c0", "Bravixo", "Tarsolt"), *((f"c{i}", "Bravixo", "Tarsole") for i in (1, 2, 3)), ("c4", "Bravixo", "Tarsola"), ("c5", "WX", "Zumpartel"), ("c6", None, "Tarsolt")]
+    spark.createDataFrame(typed, "claim_id string, marca string, modelo string").selectExpr("*", "timestamp '2024-01-01' as received_at").write.parquet(str(tmp_path / "vehicle_metadata.parquet"))
+    both = []
+    for most in (canonical.MAX_TERMS, 0):
+        monkeypatch.setattr(canonical, "MAX_TERMS", most)
+        both.append(rows(llm_plans._resolved_claims(spark, str(tmp_path)).select("claim_id", "entry_id", "cost", "reason")))
+    assert both[0] == both[1]
+    assert {(c, e) for c, e, _, _ in both[0]} == {("c0", 2), ("c5", 3), ("c6", 2)}
+
+
 def test_a_near_place_counts_among_many_exact_ones_behind():
     lexicon = canonical.Lexicon([(1, "Bravixo", None, "Tarsola"), (2, "Bravixo", None, "Quimberto")])
     # one wrong letter at the start costs less than the words before the exact places

@@ -151,24 +151,83 @@ def vehicle_boxes(rows: DataFrame, classes: tuple[int, ...] = (2, 5, 7), min_con
     return cut.where("x2 > x1 and y2 > y1")
 
 
+def _covered(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> tuple[float, list[float]]:
+    """Area that the boxes of one image cover together, and their hull."""
+    xs = np.unique(np.concatenate([x1, x2]))
+    ys = np.unique(np.concatenate([y1, y2]))
+    covered = np.zeros((len(ys) - 1, len(xs) - 1), bool)
+    for a, b, c, d in zip(x1, y1, x2, y2, strict=True):
+        covered[np.searchsorted(ys, b) : np.searchsorted(ys, d), np.searchsorted(xs, a) : np.searchsorted(xs, c)] = True
+    area = float((covered * np.outer(np.diff(ys), np.diff(xs))).sum())
+    return area, [float(xs[0]), float(ys[0]), float(xs[-1]), float(ys[-1])]
+
+
+def _covered_alike(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`_covered` of many images with as many boxes each, a row an image."""
+    xs, ys = np.sort(np.hstack([x1, x2]), axis=1), np.sort(np.hstack([y1, y2]), axis=1)
+    covered = np.zeros((len(xs), ys.shape[1] - 1, xs.shape[1] - 1), bool)
+    for k in range(x1.shape[1]):
+        inside_x = (x1[:, k, None] <= xs[:, :-1]) & (xs[:, 1:] <= x2[:, k, None])
+        inside_y = (y1[:, k, None] <= ys[:, :-1]) & (ys[:, 1:] <= y2[:, k, None])
+        covered |= inside_y[:, :, None] & inside_x[:, None, :]
+    area = (covered * (np.diff(ys, axis=1)[:, :, None] * np.diff(xs, axis=1)[:, None, :])).sum(axis=(1, 2))
+    return area, np.stack([xs[:, 0], ys[:, 0], xs[:, -1], ys[:, -1]], axis=1)
+
+
+#: Boxes of an image up to which images with as many are placed together.
+FEW_BOXES = 8
+
+
 def union_area(boxes: DataFrame, image: str = "image_id") -> DataFrame:
     """(image, fraction, hull, n) of the boxes of an image: area covered by any of them over the image's area.
 
-    Boxes of one image are few (detector output), so they are gathered per image.
+    Boxes of one image are few (detector output), so they lie together in their
+    task, and images with as many boxes are computed at once.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        xs = np.unique(np.concatenate([pdf["x1"], pdf["x2"]]))
-        ys = np.unique(np.concatenate([pdf["y1"], pdf["y2"]]))
-        covered = np.zeros((len(ys) - 1, len(xs) - 1), bool)
-        for x1, y1, x2, y2 in zip(pdf["x1"], pdf["y1"], pdf["x2"], pdf["y2"], strict=True):
-            covered[np.searchsorted(ys, y1) : np.searchsorted(ys, y2), np.searchsorted(xs, x1) : np.searchsorted(xs, x2)] = True
-        area = float((covered * np.outer(np.diff(ys), np.diff(xs))).sum())
-        full = float(pdf["width"].iloc[0] * pdf["height"].iloc[0])
-        return pd.DataFrame({image: [pdf[image].iloc[0]], "fraction": [area / full if full else 0.0], "hull": [[float(xs[0]), float(ys[0]), float(xs[-1]), float(ys[-1])]], "n": [len(pdf)]})
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    sides = ("x1", "y1", "x2", "y2")
+
+    def of_images(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        """Results of the images whose rows begin at ``starts``."""
+        corners = [rows[c].to_numpy() for c in sides]
+        full = (rows["width"].to_numpy() * rows["height"].to_numpy())[starts]
+        sizes = np.diff(np.append(starts, rows.num_rows))
+        area, hull = np.zeros(len(starts)), np.zeros((len(starts), 4))
+        known = np.logical_and.reduceat(np.isfinite(np.sum(corners, axis=0)), starts)
+        for size in np.unique(sizes[known & (sizes <= FEW_BOXES)]):
+            at = np.flatnonzero(known & (sizes == size))
+            area[at], hull[at] = _covered_alike(*[c[starts[at, None] + np.arange(size)] for c in corners])
+        for i in np.flatnonzero(~known | (sizes > FEW_BOXES)):
+            area[i], hull[i] = _covered(*[c[starts[i] : starts[i] + sizes[i]] for c in corners])
+        fraction = np.divide(area, full, out=np.zeros(len(area)), where=full != 0)
+        hulls = pa.ListArray.from_arrays(pa.array(np.arange(len(hull) + 1, dtype="int32") * 4), pa.array(hull.ravel()))
+        names = rows[image].take(pa.array(starts)).combine_chunks()
+        return pa.RecordBatch.from_arrays([names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names, pa.array(fraction), hulls, pa.array(sizes.astype("int64"))], [image, "fraction", "hull", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_rows: list[pa.RecordBatch] = []  # rows of the image that the next batch may go on with
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            before = [open_rows[-1].slice(open_rows[-1].num_rows - 1)] if open_rows else []
+            ids = pa.Table.from_batches([*before, batch])[image].combine_chunks()
+            here, there = ids.slice(1), ids.slice(0, len(ids) - 1)
+            differ = pc.or_(pc.fill_null(pc.not_equal(here, there), False), pc.not_equal(pc.is_null(here), pc.is_null(there)))
+            new = np.flatnonzero(differ.to_numpy(zero_copy_only=False)) + 1 - len(before)
+            if not len(new):
+                open_rows.append(batch)
+                continue
+            held = sum(b.num_rows for b in open_rows)
+            yield of_images(pa.Table.from_batches([*open_rows, batch.slice(0, new[-1])]), np.concatenate([[0], new[:-1] + held]) if held + new[0] else new[:-1])
+            open_rows = [batch.slice(new[-1])]
+        if open_rows:
+            yield of_images(pa.Table.from_batches(open_rows), np.array([0]))
 
     kind = dict(boxes.dtypes)[image]
-    return boxes.groupBy(image).applyInPandas(run, f"`{image}` {kind}, fraction double, hull array<double>, n bigint")
+    rows = boxes.select(image, *[F.col(c).cast("double").alias(c) for c in (*sides, "width", "height")])
+    return rows.repartition(image).sortWithinPartitions(image).mapInArrow(run, f"`{image}` {kind}, fraction double, hull array<double>, n bigint")
 
 
 #: Tags of the main directory and of the photo's own that can identify a person, a place or a device.

@@ -8,7 +8,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimweave.functions import geometry as geo
@@ -498,8 +498,9 @@ def union_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of an image that boxes cover together, counted once where they overlap."""
     boxes = _two_boxes(spark, sf_dir)
     # line numbers repeat in some orders; those are left to the SQL's terms of two boxes
-    plain = boxes.groupBy("image_id").agg(F.count(F.lit(1)).alias("c"), F.countDistinct("n").alias("d")).where("c = d").select("image_id")
-    sized = boxes.join(plain, "image_id", "left_semi").withColumns({"width": F.lit(800.0), "height": F.lit(600.0)})
+    whole = Window.partitionBy("image_id")
+    plain = boxes.withColumn("once", F.count(F.lit(1)).over(whole) == F.size(F.collect_set("n").over(whole))).where("once").drop("once")
+    sized = plain.withColumns({"width": F.lit(800.0), "height": F.lit(600.0)})
     return quality.union_area(sized).select("image_id", half_up(F.col("fraction"), 4).alias("fraction"), F.get("hull", F.lit(0)).alias("hx"), "n")
 
 

@@ -192,6 +192,31 @@ def test_union_of_boxes_is_no_sum(spark):
     assert got == {1: (0.4375, [0.0, 0.0, 75.0, 75.0]), 2: (1.0, [0.0, 0.0, 100.0, 100.0])}
 
 
+def test_unions_of_many_images_are_computed_together(spark):
+    rng = np.random.default_rng(5)
+    data = []
+    for image in [None, *range(60)]:
+        for _ in range(1 if image == 1 else 40 if image == 2 else rng.integers(1, 13)):
+            x, y, w, h = (float(v) for v in rng.integers(0, 30, 4))
+            data.append((image, x, y, x + w, y + h, 64.0, 0.0 if image == 3 else 64.0))
+    df = spark.createDataFrame(data, "image_id int, x1 double, y1 double, x2 double, y2 double, width double, height double")
+    want = {}
+    for image in {r[0] for r in data}:
+        grid, mine = np.zeros((64, 64), bool), [r for r in data if r[0] == image]
+        for _, x1, y1, x2, y2, _, _ in mine:
+            grid[int(y1) : int(y2), int(x1) : int(x2)] = True
+        hull = [min(r[1] for r in mine), min(r[2] for r in mine), max(r[3] for r in mine), max(r[4] for r in mine)]
+        want[image] = (0.0 if image == 3 else grid.sum() / 64**2, hull, len(mine))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # images go on over batches
+    try:
+        found = quality.union_area(df)
+        assert {r["image_id"]: (r["fraction"], r["hull"], r["n"]) for r in found.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().executedPlan().toString()
+    assert quality.union_area(df.limit(0)).count() == 0
+
+
 # --- files
 
 

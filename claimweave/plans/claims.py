@@ -431,7 +431,14 @@ def _run_stream(df: DataFrame, name: str, mode: str) -> DataFrame:
 
     spark = df.sparkSession
     root = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
-    q = df.writeStream.foreachBatch(lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("append").parquet(f"{root}/out")).outputMode(mode).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    # state of very many keys lies on disk and not in the heap; a stream keeps the settings it starts with
+    store = "spark.sql.streaming.stateStore.providerClass"
+    own = spark.conf.get(store, None)
+    spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = df.writeStream.foreachBatch(lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("append").parquet(f"{root}/out")).outputMode(mode).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(store, own) if own else spark.conf.unset(store)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out")
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,22 +26,14 @@ def sessions(rows: DataFrame, time: str, key: str, gap: str = "30 minutes", late
 def running_damages(detections: DataFrame) -> DataFrame:
     """Running consolidation of a stream of detections: (claim_id, n_detections, n_damages, best) after each batch.
 
-    State per claim is the set of its damages (type and part) with the best
-    confidence of each, so it is bounded by the vocabulary and not by the photos.
+    State per claim is the set of its damages (type and part), their number of
+    detections and the best confidence, so it is bounded by the vocabulary and
+    not by the photos.
     """
 
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        names, best, n = state.get if state.exists else ([], [], 0)
-        known = dict(zip(names, best, strict=True))
-        for batch in batches:
-            for t, p, c in zip(batch["type"], batch["part"], batch["confidence"], strict=True):
-                name = f"{t}|{p if isinstance(p, str) and p not in ('', 'unknown') else ''}"
-                known[name] = max(known.get(name, 0.0), float(c) if c == c and c is not None else 0.0)
-                n += 1
-        state.update((list(known), list(known.values()), n))
-        yield pd.DataFrame({"claim_id": [key[0]], "n_detections": [n], "n_damages": [len(known)], "best": [max(known.values(), default=0.0)]})
-
-    fed = detections.select(F.col("claim_id").cast("string").alias("claim_id"), "type", "part", "confidence")
-    return fed.groupBy("claim_id").applyInPandasWithState(
-        update, "claim_id string, n_detections bigint, n_damages bigint, best double", "names array<string>, best array<double>, n bigint", "update", "NoTimeout"
-    )
+    part = F.when(F.col("part").isin("", "unknown"), "").otherwise(F.coalesce(F.col("part"), F.lit("")))
+    name = F.concat(F.coalesce(F.col("type"), F.lit("None")), F.lit("|"), part)
+    confidence = F.coalesce(F.nanvl(F.col("confidence").cast("double"), F.lit(0.0)), F.lit(0.0))
+    fed = detections.select(F.col("claim_id").cast("string").alias("claim_id"), name.alias("name"), confidence.alias("confidence"))
+    per_claim = fed.groupBy("claim_id").agg(F.count(F.lit(1)).alias("n"), F.collect_set("name").alias("names"), F.max("confidence").alias("best"))
+    return per_claim.select("claim_id", F.col("n").alias("n_detections"), F.size("names").cast("bigint").alias("n_damages"), F.greatest("best", F.lit(0.0)).alias("best"))

@@ -224,3 +224,18 @@ def test_the_stream_of_damages_has_every_line(spark, sf_dir):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_orderkey is not null")
     want = lines.groupBy(F.col("l_orderkey").cast("string")).agg(F.count(F.lit(1)), F.max("l_discount").cast("double"))
     assert rows(claims.streaming_consolidate(spark, sf_dir).select("claim_id", "n_detections", "best")) == rows(want)
+
+
+def test_running_damages_go_on_over_batches_without_python(spark, tmp_path):
+    from claimweave.plans.claims import _run_stream
+    from claimweave.streaming.monitor import running_damages
+
+    kind = "claim_id int, type string, part string, confidence double"
+    for batch in ([(1, "dent", "hood", 0.5), (1, "dent", "hood", 0.75), (1, "dent", "unknown", None)], [(1, "dent", "", float("nan")), (1, "dent", None, 0.25), (1, None, "hood", 0.5), (2, "dent", "hood", -1.0), (None, "dent", "hood", 0.5)]):
+        spark.createDataFrame(batch, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    running = running_damages(spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")))
+    assert "FlatMapGroupsInPandasWithState" not in running._jdf.queryExecution().analyzed().toString()
+    out = _run_stream(running, "test-damages", "update")
+    last = out.groupBy("claim_id").agg(F.max_by(F.struct("n_detections", "n_damages", "best"), "batch").alias("r")).select("claim_id", "r.*")
+    assert rows(last) == {("1", 6, 3, 0.75), ("2", 1, 1, 0.0), (None, 1, 1, 0.5)}
+    assert out.select("batch").distinct().count() == 2

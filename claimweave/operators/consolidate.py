@@ -121,6 +121,9 @@ def zones_summary(damages: DataFrame) -> DataFrame:
 def assemble_claims(damages: DataFrame) -> DataFrame:
     """One row per claim: its damages as an array of structs in order, and a map of damages per zone."""
     fields = [c for c in damages.columns if c not in ("claim_id", "first_pos")]
-    per_zone = zones_summary(damages).groupBy("claim_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("zone", "n")))).alias("zones_summary"))
-    listed = damages.groupBy("claim_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("first_pos", F.struct(*fields).alias("d")))), lambda x: x["d"]).alias("damages"))
-    return listed.join(per_zone, "claim_id")
+    ordered = F.array_sort(F.collect_list(F.struct("first_pos", F.struct(*fields).alias("d"))))
+    listed = damages.groupBy("claim_id").agg(F.transform(ordered, lambda x: x["d"]).alias("damages"))
+    # counted in the list, so that the damages are made once
+    zones = F.transform("damages", lambda d: d["zone"])
+    counted = F.transform(F.array_sort(F.array_distinct(zones)), lambda z: F.struct(z.alias("zone"), F.size(F.filter(zones, lambda x: x == z)).cast("bigint").alias("n")))
+    return listed.where("claim_id is not null").withColumn("zones_summary", F.map_from_entries(counted))

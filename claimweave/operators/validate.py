@@ -12,6 +12,8 @@ the schema is compiled; an explicit null violates its type.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,16 @@ def _kind(value: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(value), r"^([A-Z]+)", 1)
 
 
+def _members(value: Column) -> Column:
+    """Members of an object; null for anything else.  Its whole type, which is costly, is not derived."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def _has(value: Column, key: str) -> Column:
+    """Whether an object has a key, be its value null."""
+    return F.try_variant_get(value, f"$.{key}", "variant").isNotNull() if re.fullmatch(r"[A-Za-z_]\w*", key) else F.array_contains(F.map_keys(_members(value)), key)
+
+
 def _errors(value: Column, schema: dict, path: str) -> list[Column]:
     unknown = set(schema) - SUPPORTED
     if unknown:
@@ -37,7 +49,12 @@ def _errors(value: Column, schema: dict, path: str) -> list[Column]:
     there = value.isNotNull()
     types = schema.get("type", [])
     types = [types] if isinstance(types, str) else types
-    if types:
+    is_object, is_array = _members(value).isNotNull(), F.try_variant_get(value, "$", "array<variant>").isNotNull()
+    if set(types) <= {"object", "array"}:
+        if types:
+            fits = is_object if types == ["object"] else is_array if types == ["array"] else is_object | is_array
+            out.append(_check(there & ~fits, path, f"not of type {'/'.join(types)}"))
+    else:
         allowed = [name for t in types for name in _TYPES[t]]
         whole = F.when(kind.isin("DECIMAL", "DOUBLE"), F.try_variant_get(value, "$", "double") % 1 == 0) if "integer" in types and "number" not in types else F.lit(False)
         out.append(_check(there & ~kind.isin(*allowed) & ~F.coalesce(whole, F.lit(False)), path, f"not of type {'/'.join(types)}"))
@@ -62,10 +79,9 @@ def _errors(value: Column, schema: dict, path: str) -> list[Column]:
         out.append(_check(is_text & F.try_to_date(text, "yyyy-MM-dd").isNull(), path, "not a date"))
     if "properties" in schema or schema.get("additionalProperties") is False or "required" in schema:
         properties = schema.get("properties", {})
-        is_object = kind == "OBJECT"
-        keys = F.when(is_object, F.json_object_keys(F.to_json(value)))
+        keys = F.map_keys(_members(value))
         for key in schema.get("required", []):
-            out.append(_check(is_object & ~F.array_contains(keys, key), path, f"'{key}' is missing"))
+            out.append(_check(is_object & ~_has(value, key), path, f"'{key}' is missing"))
         if schema.get("additionalProperties") is False:
             extra = F.array_except(keys, F.array(*[F.lit(k) for k in properties]) if properties else F.array().cast("array<string>"))
             named = F.transform(extra, lambda k: F.concat(F.lit(f"{path}: unexpected '"), k, F.lit("'")))
@@ -74,7 +90,6 @@ def _errors(value: Column, schema: dict, path: str) -> list[Column]:
             out.extend(_errors(F.try_variant_get(value, f"$.{key}", "variant"), sub, f"{path}.{key}"))
     if "items" in schema or "minItems" in schema:
         items = F.try_variant_get(value, "$", "array<variant>")
-        is_array = kind == "ARRAY"
         if "minItems" in schema:
             out.append(_check(is_array & (F.size(items) < schema["minItems"]), path, f"fewer than {schema['minItems']} items"))
         if "items" in schema:
@@ -83,16 +98,22 @@ def _errors(value: Column, schema: dict, path: str) -> list[Column]:
     return out
 
 
-def schema_errors(payload: Column, schema: dict) -> Column:
-    """Sorted errors of a JSON text against the schema; an empty array for a valid one."""
-    value = F.try_parse_json(payload)
+def _found(value: Column, schema: dict) -> Column:
+    """Sorted errors of a parsed document against the schema."""
     found = F.array_sort(F.concat(F.array().cast("array<string>"), *_errors(value, schema, "$")))
     return F.when(value.isNull(), F.array(F.lit("$: not JSON"))).otherwise(found)
 
 
+def schema_errors(payload: Column, schema: dict) -> Column:
+    """Sorted errors of a JSON text against the schema; an empty array for a valid one."""
+    return _found(F.try_parse_json(payload), schema)
+
+
 def validate(df: DataFrame, payload: str, schema: dict) -> DataFrame:
     """``df`` with ``errors`` and ``is_valid``."""
-    return df.withColumn("errors", schema_errors(F.col(payload), schema)).withColumn("is_valid", F.size("errors") == 0)
+    # a column of its own, so that a text is parsed once and not for every check
+    parsed = df.withColumn("__parsed", F.try_parse_json(payload))
+    return parsed.withColumn("errors", _found(F.col("__parsed"), schema)).drop("__parsed").withColumn("is_valid", F.size("errors") == 0)
 
 
 def require_valid(df: DataFrame, payload: str, schema: dict) -> DataFrame:

@@ -301,17 +301,17 @@ OUTPUT_SCHEMA = {
 def _output_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimweave.plans.claims import _outputs
 
-    outputs = _outputs(spark, sf_dir)
-    assembled = con.assemble_claims(con.consolidate(detections(spark, sf_dir))).withColumn("claim_id", F.col("claim_id").cast("string"))
-    return sinks.output_document(outputs, assembled)
+    # the number again: by it the damages lie together already
+    outputs = _outputs(spark, sf_dir).withColumn("claim_id", F.col("claim_id").cast("bigint"))
+    return sinks.output_document(outputs, con.assemble_claims(con.consolidate(detections(spark, sf_dir))))
 
 
 @query(WITH + f", n as (select c.claim_id, count(distinct d.type || '|' || case when d.part not in ('', 'unknown') then 'part' when d.zone not in ('', 'unknown') then 'zone' else 'none' end || '|' || case when d.part not in ('', 'unknown') then d.part when d.zone not in ('', 'unknown') then d.zone else '' end) as n_damages, any_value(c.anio) as ms from claims c left join detections d on d.claim_id = c.claim_id group by c.claim_id) select cast(claim_id as varchar) as claim_id, cast(n_damages as int) as n_damages, true as is_valid, cast(ms as bigint) as processing_time_ms from n")
 def output_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluations as JSON documents, held against their contract and read back."""
     checked = validate.validate(_output_documents(spark, sf_dir), "value", OUTPUT_SCHEMA)
-    back = sinks.audit_from_outputs(checked, "value").select("claim_id", F.col("output_summary.n_damages").alias("n_damages"), "processing_time_ms")
-    return back.join(checked.select("claim_id", "is_valid"), "claim_id").select("claim_id", "n_damages", "is_valid", "processing_time_ms")
+    back = sinks.audit_from_outputs(checked, "value", "is_valid")
+    return back.select("claim_id", F.col("output_summary.n_damages").alias("n_damages"), "is_valid", "processing_time_ms")
 
 
 @query(WITH + "select cast(claim_id as varchar) as claim_id, 'EVA-' || replace(cast(fecha_cierre as varchar), '-', '') || '-' || upper(substr(sha256(cast(claim_id as varchar) || cast(fecha_cierre as varchar) || 'T00:00:00Z'), 1, 8)) as id_evaluacion, sha256(cast(claim_id as varchar)) as hashes, '' as lane, 0e0 as total_eur from claims")

@@ -184,13 +184,13 @@ _OUTPUT = (
 )
 
 
-def audit_from_outputs(outputs: DataFrame, payload: str) -> DataFrame:
-    """Audit fields of evaluation documents, every missing one with its default; nothing else is carried over."""
-    o = outputs.select(F.from_json(payload, _OUTPUT).alias("o")).select("o.*")
+def audit_from_outputs(outputs: DataFrame, payload: str, *beside: str) -> DataFrame:
+    """Audit fields of evaluation documents, every missing one with its default; nothing else is carried over but the columns ``beside`` the document."""
+    o = outputs.select(F.from_json(payload, _OUTPUT).alias("o"), *beside).select("o.*", *beside)
     return o.select(
         F.coalesce("claim_id", F.lit("")).alias("claim_id"), F.coalesce("id_evaluacion", F.lit("")).alias("id_evaluacion"), F.coalesce("audit.input_hashes", F.array().cast("array<string>")).alias("input_hashes"), F.coalesce("model_version", F.lit("")).alias("model_version"),
         F.struct(F.coalesce("lane", F.lit("")).alias("lane"), F.greatest(F.size("damages"), F.lit(0)).alias("n_damages"), F.coalesce("estimacion.total_eur", F.lit(0.0)).alias("total_eur")).alias("output_summary"),
-        F.coalesce("audit.processing_time_ms", F.lit(0)).alias("processing_time_ms"), F.coalesce("lane_rule_id", F.lit("")).alias("rule_id_applied"), F.coalesce("timestamp", F.lit("")).alias("timestamp"),
+        F.coalesce("audit.processing_time_ms", F.lit(0)).alias("processing_time_ms"), F.coalesce("lane_rule_id", F.lit("")).alias("rule_id_applied"), F.coalesce("timestamp", F.lit("")).alias("timestamp"), *beside,
     )
 
 

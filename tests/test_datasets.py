@@ -217,6 +217,13 @@ def test_unions_of_many_images_are_computed_together(spark):
     assert quality.union_area(df.limit(0)).count() == 0
 
 
+def test_documents_are_made_and_parsed_once(spark, sf_dir):
+    from claimweave.plans import exchange
+
+    plan = exchange.output_documents(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == plan.count("Relation [o_orderkey") == 1
+
+
 # --- files
 
 

@@ -334,3 +334,18 @@ def test_report_and_queries_run(spark, sf_dir):
     report = plans.p10_report(spark, sf_dir).collect()
     assert report and all(0 <= r["share_cut"] <= 1 for r in report)
     assert plans.p8_found(spark, sf_dir).where(F.col("item_id").isNull()).count() == 0
+
+
+def test_what_verdicts_were_made_from_is_deleted_before_the_next(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("claimweave.operators.staging.stage_root", lambda spark: f"file://{tmp_path}")
+    said, kept = truncation.stage, {}
+
+    def watched(df, tag):
+        kept[tag] = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+        return said(df, tag)
+
+    monkeypatch.setattr(truncation, "stage", watched)
+    whole = "Esta es una frase bastante larga que sigue hasta el final sin parar nunca de contar cosas."
+    df = spark.createDataFrame([(1, whole), (2, whole[:70]), (3, "Otra frase.")], "doc_id bigint, text string")
+    assert truncation.find_truncated(df).count() == 3
+    assert kept["bands"] == {"texts", "closing"} and kept["copy"] == {"texts", "closing", "copy-pairs"}
